@@ -168,3 +168,13 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[n
         return none, none, np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     start = np.concatenate(starts)
     return start, np.concatenate(lengths), np.concatenate(hashes), np.searchsorted(start, offsets)
+
+
+def pieces(batch: pa.RecordBatch, column: str, size: int = SEGMENT) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``size`` bytes of text; a longer text is a slice of its own."""
+    _, offsets = text_bytes(batch.column(column))
+    at, n = 0, batch.num_rows
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
+        yield batch.slice(at, min(to, n) - at)
+        at = to

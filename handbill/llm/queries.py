@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, topk, urls, warc
+from . import fingerprints, minhash, mixing, topk, urls, warc
 from .common import documents
 
 
@@ -31,11 +31,15 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
+def op8_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_components(documents(spark, sf_dir), k=3, percent=85)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op2_topk, op3_fingerprints, op5_warc, op7_urls, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_topk, op3_fingerprints, op5_warc, op7_urls, op8_near, op10_mixing)}
 
 SQL = {
     "op2_topk": """
