@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, minhash, mixing, topk, urls, warc
+from . import fingerprints, lines, minhash, mixing, packing, topk, urls, warc
 from .common import documents
 
 
@@ -17,11 +17,19 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(documents(spark, sf_dir))
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.without_repeated_runs(documents(spark, sf_dir), added=True).select("doc_id", "text", "n_lines", "n_deleted")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, index = warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return warc.read(path, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir))
+
+
 #: Fixed values of the query's contract.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
@@ -39,7 +47,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op2_topk, op3_fingerprints, op5_warc, op7_urls, op8_near, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_topk, op3_fingerprints, op4_lines, op5_warc, op6_packing, op7_urls, op8_near, op10_mixing)}
 
 SQL = {
     "op2_topk": """
@@ -49,6 +57,19 @@ p AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT
       FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op4_lines": r"""
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, generate_subscripts(ls, 1) AS pos, unnest(ls) AS line FROM d),
+c AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM l),
+n AS (SELECT *, lead(line, 1) OVER o AS l1, lead(line, 2) OVER o AS l2, lead(w, 1) OVER o AS w1 FROM c WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+m AS (SELECT *, CASE WHEN w >= 50 THEN 1 WHEN w + w1 >= 50 THEN 2 WHEN l2 IS NOT NULL THEN 3 END AS m FROM n),
+k AS (SELECT doc_id, pos, m, CASE m WHEN 1 THEN [line] WHEN 2 THEN [line, l1] ELSE [line, l1, l2] END AS body FROM m WHERE m IS NOT NULL),
+f AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, pos) AS nth FROM k),
+x AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + m)) AS pos FROM f WHERE nth > 1),
+r AS (SELECT c.doc_id, string_agg(line, chr(10) ORDER BY c.pos) FILTER (x.pos IS NULL) AS text, count(*)::INTEGER AS n_lines, count(x.pos)::INTEGER AS n_deleted
+      FROM c LEFT JOIN x ON c.doc_id = x.doc_id AND c.pos = x.pos GROUP BY c.doc_id)
+SELECT doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(r.text, '') END AS text, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted
+FROM d LEFT JOIN r USING (doc_id)""",
     "op5_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
 m AS (SELECT h, octet_length(encode(body)) AS n, max(page_id) AS top FROM p GROUP BY ALL),
