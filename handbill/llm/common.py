@@ -178,3 +178,45 @@ def pieces(batch: pa.RecordBatch, column: str, size: int = SEGMENT) -> Iterator[
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
         yield batch.slice(at, min(to, n) - at)
         at = to
+
+
+# --- hashed character n-grams with word ends, over whole batches of bytes -----------------------
+
+_TAB = np.random.default_rng(577215).integers(0, 2**64, (8, 256), dtype=np.uint64)
+
+
+def stream(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' bytes with a space before each and at the end, all white space as a space, and where each text's space is."""
+    n = len(offsets) - 1
+    out = np.full(len(data) + n + 1, 32, np.uint8)
+    starts = offsets[:-1] + np.arange(n)
+    body = data.copy()
+    body[_SPACE[body]] = 32
+    if lower:
+        capital = (body >= 65) & (body <= 90)
+        body[capital] += 32
+    if n == 1:
+        out[1:-1] = body
+    elif n:
+        out[np.arange(len(data)) + np.repeat(np.arange(1, n + 1), np.diff(offsets))] = body
+    return out, starts
+
+
+def grams(text: np.ndarray, orders: tuple[int, ...], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order, the bucket of the n-gram at each byte and whether it is one: of one word, with the spaces at its ends."""
+    white = np.cumsum(np.concatenate([[0], text == 32]), dtype=np.int64)
+    h = np.zeros(len(text), np.uint64)
+    done = 0
+    for n in orders:
+        for k in range(done, n):
+            h[: len(text) - k] ^= _TAB[k][text[k:]]
+        done = n
+        count = max(0, len(text) - n + 1)
+        inside = white[n - 1 : n - 1 + count] - white[1 : 1 + count] if n > 2 else (white[2 : 2 + count] - white[:count] == 2)
+        yield ((h[:count] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int32), inside == 0
+
+
+def segments(data: np.ndarray, size: int = SEGMENT) -> Iterator[np.ndarray]:
+    """One text's bytes in segments that end between words."""
+    for a, b in _cuts(data, np.array([0, len(data)], np.int64)) if len(data) > size else [(0, len(data))]:
+        yield data[a:b]

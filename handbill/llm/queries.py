@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, lines, minhash, mixing, packing, topk, urls, warc
-from .common import documents
+from . import fingerprints, langid, lines, minhash, mixing, packing, quality, topk, urls, warc
+from .common import crc_mod, documents
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, model).select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,11 +49,17 @@ def op8_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_components(documents(spark, sf_dir), k=3, percent=85)
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = langid.identify(docs, langid.fit(docs))
+    return found.select("doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op2_topk, op3_fingerprints, op4_lines, op5_warc, op6_packing, op7_urls, op8_near, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_topk, op3_fingerprints, op4_lines, op5_warc, op6_packing, op7_urls, op8_near, op9_language, op10_mixing)}
 
 SQL = {
     "op2_topk": """
