@@ -209,7 +209,7 @@ def grams(text: np.ndarray, orders: tuple[int, ...], bits: int) -> Iterator[tupl
     done = 0
     for n in orders:
         for k in range(done, n):
-            h[: len(text) - k] ^= _TAB[k][text[k:]]
+            h[: max(0, len(text) - k)] ^= _TAB[k][text[k:]]
         done = n
         count = max(0, len(text) - n + 1)
         inside = white[n - 1 : n - 1 + count] - white[1 : 1 + count] if n > 2 else (white[2 : 2 + count] - white[:count] == 2)
