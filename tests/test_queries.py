@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF, same
+from support import SF, same
 
 from handbill.plans import queries
 
