@@ -209,10 +209,11 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_i
     @F.pandas_udf("int")
     def last_shard(length: pd.Series, floor: pd.Series) -> pd.Series:
         """The number of leading shards whose longest vector can reach the floor; shards come by descending length."""
-        norm = np.sqrt(length.to_numpy())[:, None]
-        bound = floor.to_numpy()
-        step = -(longest[None, :] * norm)
-        return pd.Series([int(np.searchsorted(s, -(b - 1e-9 * (1 + abs(b))), "right")) for s, b in zip(step, bound, strict=True)])
+        norm, bound = np.sqrt(length.to_numpy()), floor.to_numpy()
+        bound = bound - 1e-9 * (1 + np.abs(bound))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            needed = np.where(norm > 0, bound / norm, np.where(bound <= 0, -np.inf, np.inf))
+        return pd.Series(len(longest) - np.searchsorted(longest[::-1], needed, "left"), dtype="int32")
 
     if start > 1:
         aimed = asked.join(floors, F.col("id") == F.col("query_id"), "left").withColumn("floor", F.coalesce("kth", F.lit(lowest)))
