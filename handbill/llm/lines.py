@@ -77,7 +77,8 @@ def without_repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words
     runs = repeated_runs(docs, min_lines, min_words)
     runs = runs.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__runs")).select(F.col("doc_id").alias("__line_id"), F.col("text_hash").alias("__line_hash"), "__runs")
     rows = docs.withColumn("__hash", F.xxhash64("text"))
-    rows = rows.join(runs, F.col("doc_id").eqNullSafe(F.col("__line_id")) & (F.col("__hash") == F.col("__line_hash")), "left")
+    # a merge at any size: a plan that turns at a threshold would be another one at scale
+    rows = rows.join(runs.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__line_id")) & (F.col("__hash") == F.col("__line_hash")), "left")
     lines = _lines()
     starts = F.concat(F.array(F.lit(0)), F.transform("__runs", lambda r: r["end"]))
     ends = F.concat(F.transform("__runs", lambda r: r["start"]), F.array(F.size(lines)))
