@@ -2,15 +2,16 @@
 
 Under each of ``PERMUTATIONS`` hash functions a document keeps both the minimum and the maximum over its
 shingles: two values for one evaluation, each equal between two documents with the probability of their
-Jaccard index J, and negatively correlated, so the estimate is unbiased with less variance. ``ROWS`` minima, or maxima, make a band;
-with 20 bands of 5, a pair of J = 0.85 shares no band with a probability of 8e-6.
+Jaccard index J, and negatively correlated, so the estimate is unbiased with less variance. Some minima, or maxima, make a
+band; the rows of a band are as many as keep the chance that a pair at the threshold shares no band below ``MISS``.
 
 Documents of one set are one class first (a sum of hashes, pre-aggregated), so copies never meet in a band.
 In a band, classes are not paired with each other: all are compared with the band's pivot, its smallest class,
-on their full sets. Then rounds follow: bands whose classes lie in more than one component get further
-pivots, twice as many each round, compared with all classes of other components; a pivot that has met the
-whole band retires, and a band ends when what is left of it is one component. So no pair within a band that could join two
-components goes unconfirmed, while a group of copies costs a comparison for each member.
+on their full sets. That joins groups of near copies at the cost of one comparison a member. Bands whose classes then lie in more than
+one component are open. Their classes get a second, five times longer min-max signature, of which longer bands
+and one bit of each value are kept. In each longer band, the classes outside its largest component meet the classes of other components whose bits differ in few
+places (five standard deviations beyond what the threshold gives); these pairs are confirmed on full sets too.
+So every pair that shares the bands and could join two components is decided, none is capped, and the pairs of one component cost nothing.
 
 Defined cases: null, empty and blank texts have no shingles and are linked with nothing; with fewer words than ``k`` the whole sequence
 is one shingle; rows of one doc_id are one node; a null doc_id links with nothing, its component is null and it is kept.
@@ -28,16 +29,22 @@ from pyspark.sql import functions as F
 from .common import discard, mix, pieces, stored, text_bytes, words
 from .components import components
 
-BANDS, ROWS = 20, 5
-PERMUTATIONS = BANDS * ROWS // 2
-FIRST_PIVOTS = 8
+PERMUTATIONS, LONG_PERMUTATIONS = 50, 256
+#: The chance that a pair at the threshold shares no band, at most.
+MISS = 2e-5
 
 _rng = np.random.default_rng(8128)
-_A = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
+_A = _rng.integers(0, 2**63, LONG_PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _rng.integers(0, 2**63, LONG_PERMUTATIONS, dtype=np.uint64)
 _PLACE = _rng.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def band_rows(similarity: float, permutations: int) -> int:
+    """The most rows to a band that keep the chance to miss a pair at the threshold below MISS."""
+    fits = [r for r in range(1, permutations + 1) if (1 - similarity**r) ** (2 * (permutations // r)) <= MISS]
+    return max(fits, default=1)
+
+
 def shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingle hashes of each text, ascending, and their n+1 offsets."""
     data, offsets = text_bytes(column)
@@ -58,28 +65,35 @@ def shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sets) if sets else h[:0], np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
 
 
-def bands(values: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Band keys of the sets, one row each; the sets are not empty."""
+def bands(values: np.ndarray, at: np.ndarray, rows: int, permutations: int = PERMUTATIONS, bits: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """Band keys of the sets, a row each, and one bit of each value packed into 64-bit words; the sets are not empty."""
     first = at[:-1]
-    out = np.empty((len(first), BANDS), np.uint64)
+    count = permutations // rows
+    out = np.empty((len(first), 2 * count), np.uint64)
+    packed = np.zeros((len(first), 2 * permutations // 64), np.uint64) if bits else None
     with np.errstate(over="ignore"):
-        for band in range(BANDS // 2):
+        for band in range(-(-permutations // rows)):
             low = np.full(len(first), 2 * band + 1, np.uint64)
             high = low + np.uint64(1)
-            for row in range(ROWS):
-                p = band * ROWS + row
+            for row in range(min(rows, permutations - band * rows)):
+                p = band * rows + row
                 v = values * _A[p] + _B[p]
                 v ^= v >> np.uint64(32)
-                low = mix(low + np.minimum.reduceat(v, first) * _PLACE[row])
-                high = mix(high + np.maximum.reduceat(v, first) * _PLACE[row])
-            out[:, 2 * band], out[:, 2 * band + 1] = low, high
-    return out
+                least, most = np.minimum.reduceat(v, first), np.maximum.reduceat(v, first)
+                low = mix(low + least * _PLACE[row])
+                high = mix(high + most * _PLACE[row])
+                if bits:
+                    for k, x in ((2 * p, least), (2 * p + 1, most)):
+                        packed[:, k // 64] |= (mix(x) & np.uint64(1)) << np.uint64(k % 64)
+            if band < count:
+                out[:, 2 * band], out[:, 2 * band + 1] = low, high
+    return out, packed
 
 
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
 
-def _sign(k: int):
+def _sign(k: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
@@ -87,15 +101,16 @@ def _sign(k: int):
                 n = np.diff(at)
                 some = n > 0
                 sums = np.zeros((2, len(n)), np.uint64)
-                keys = np.zeros((len(n), BANDS), np.uint64)
+                count = 2 * (PERMUTATIONS // rows)
+                keys = np.zeros((len(n), count), np.uint64)
                 if some.any():
                     full = np.append(at[:-1][some], at[-1])
                     with np.errstate(over="ignore"):
                         sums[0, some] = np.add.reduceat(mix(values ^ np.uint64(0x51ED)), full[:-1])
                         sums[1, some] = np.add.reduceat(mix(values * np.uint64(0x2545F4914F6CDD1D)), full[:-1])
-                    keys[some] = bands(values, full)
+                    keys[some] = bands(values, full, rows)[0]
                 flat = pa.array(keys[some].ravel().view(np.int64))
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]), pa.int32()), flat)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * count)]), pa.int32()), flat)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(n), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), lists], schema=_SIGNED)
 
     return run
@@ -112,6 +127,24 @@ def _sets(k: int):
     return run
 
 
+_LONG = pa.schema([("rep", pa.int64()), ("bands", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
+
+
+def _sign_longer(rows: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in range(0, batch.num_rows, 512):
+                part = batch.slice(x, 512)
+                lists = part.column("set")
+                at = lists.offsets.to_numpy().astype(np.int64)
+                values = lists.flatten().to_numpy().view(np.uint64)
+                keys, packed = bands(values, at - at[0], rows, LONG_PERMUTATIONS, True)
+                flat = lambda m: pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32()), pa.array(m.ravel().view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column("id"), flat(keys), flat(packed)], schema=_LONG)
+
+    return run
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
     left, right = (sets.select(F.col("id").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
@@ -123,8 +156,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """A row per row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id that it reaches over links of
     ``percent`` or more), kept (whether that is its own)."""
+    similarity = percent / 100
     texts = docs.select("doc_id", "text")
-    signed = stored(texts.mapInArrow(_sign(k), "doc_id long, n long, s1 long, s2 long, bands array<long>"), "near-signed")
+    signed = stored(texts.mapInArrow(_sign(k, band_rows(similarity, PERMUTATIONS)), "doc_id long, n long, s1 long, s2 long, bands array<long>"), "near-signed")
     key = ["n", "s1", "s2"]
     classes = stored(signed.where("n > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")), "near-classes")
     placed = classes.select("rep", "n", F.explode("bands").alias("band"))
@@ -132,43 +166,35 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     members = stored(placed.join(shared.select("band", "pivot"), "band"), "near-members")
 
     def similar(n: str, m: str):
-        return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.col(n) > 0)
+        return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
-    star = members.select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b"), F.col("pivot.n").alias("n"), F.col("n").alias("m")).where("a <> b").where(similar("n", "m"))
+    star = members.where("rep <> pivot.rep").where(similar("n", "pivot.n")).select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b"))
     reps = members.select(F.col("rep").alias("of")).distinct()
-    sets = stored(texts.join(reps, F.col("doc_id") == F.col("of"), "left_semi").mapInArrow(_sets(k), "id long, set array<long>"), "near-sets")
-    links = stored(_confirmed(star.select("a", "b").distinct(), sets, percent), "near-links")
+    sets = stored(texts.join(reps.hint("merge"), F.col("doc_id") == F.col("of"), "left_semi").dropDuplicates(["doc_id", "text"]).mapInArrow(_sets(k), "id long, set array<long>"), "near-sets")
+    links = stored(_confirmed(star.distinct(), sets, percent), "near-links")
     labels = components(links)
-    discard(links)
-    open_ = members.where("rep <> pivot.rep").select("band", "rep", "n")  # the pivots have met their whole bands
-    pivots, slots = [members], FIRST_PIVOTS
-    while True:
-        # bands that lie in one component are done
-        here = open_.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select("band", "rep", "n", F.coalesce("label", "rep").alias("label"))
-        here = stored(here, "near-open")
-        split = here.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
-        left = stored(here.join(split, "band", "left_semi"), "near-left")
-        discard(here, *pivots)
-        pivots = [left]
-        if left.isEmpty():
-            break
-        chosen = left.groupBy("band", F.pmod(F.xxhash64(F.lit(slots), "rep"), F.lit(slots)).alias("slot")).agg(F.max(F.struct("label", "rep", "n")).alias("p"))
-        met = left.join(chosen.select("band", "p"), "band").where("label <> p.label").select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b"), "n", F.col("p.n").alias("m"), "label", F.col("p.label").alias("other"))
-        links = stored(_confirmed(met.where(similar("n", "m")).select("a", "b").distinct(), sets, percent), "near-links")
-        if not links.isEmpty():
-            names = labels.select(F.col("node"), "label")
-            ends = links.join(names.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left").join(names.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left")
-            joined = components(ends.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).distinct())
-            old = labels
-            renamed = joined.select(F.col("node").alias("was"), F.col("label").alias("now"))
-            loose = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(names, "node", "left_anti").select("node", F.col("node").alias("label"))
-            labels = stored(names.unionByName(loose).join(renamed, F.col("label") == F.col("was"), "left").select("node", F.coalesce("now", "label").alias("label")), "near-labels")
-            discard(old, joined)
-        discard(links)
-        open_ = left.select("band", "rep", "n").join(chosen.select("band", F.col("p.rep").alias("rep")), ["band", "rep"], "left_anti")
-        slots *= 2
+    # what lies in bands of more than one component
+    here = stored(members.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select("band", "rep", "n", F.coalesce("label", "rep").alias("label")), "near-here")
+    split = here.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m")).where("low <> high and m > 2").select("band")
+    open_ = stored(here.join(split, "band", "left_semi").groupBy("rep").agg(F.first("n").alias("n"), F.first("label").alias("label")), "near-open")
+    rows = band_rows(similarity, LONG_PERMUTATIONS)
+    longer = sets.join(open_, F.col("id") == F.col("rep"), "left_semi").where(F.size("set") > 0).mapInArrow(_sign_longer(rows), "rep long, bands array<long>, bits array<long>")
+    longer = stored(longer.join(open_, "rep").select("rep", "n", "label", "bits", F.explode("bands").alias("band")), "near-longer")
+    sizes = longer.groupBy("band", "label").agg(F.count("*").alias("m")).groupBy("band").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("band", "main")
+    mixed = longer.join(sizes, "band")
+    p = (1 - similarity) / 2
+    n_bits = 2 * LONG_PERMUTATIONS
+    far = int(n_bits * p + 5 * (n_bits * p * (1 - p)) ** 0.5)
+    some, other = mixed.where("label <> main").alias("x"), mixed.alias("y")
+    differ = sum((F.bit_count(F.get("x.bits", i).bitwiseXOR(F.get("y.bits", i))) for i in range(n_bits // 64)), F.lit(0))
+    meet = (F.col("x.band") == F.col("y.band")) & (F.col("x.label") != F.col("y.label")) & ((F.col("y.label") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))) & similar("x.n", "y.n") & (differ <= far)
+    pairs = some.join(other, meet).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+    found = stored(_confirmed(pairs, sets, percent), "near-found")
+    discard(members, here, open_, longer)
+    if not found.isEmpty():
+        labels = components(links.unionByName(found))
     named = classes.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select(*(F.col(c).alias(f"c_{c}") for c in key), F.coalesce("label", "rep").alias("label"))
-    discard(sets)
+    discard(sets, links, found)
     rows = signed.select("doc_id", *key).join(named, F.expr("n = c_n and s1 = c_s1 and s2 = c_s2 and doc_id is not null"), "left")
     component = F.coalesce("label", "doc_id")
     return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
@@ -177,4 +203,4 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, that of the smallest doc_id, with its own columns; rows that repeat its doc_id stay with it."""
     gone = near_components(docs, k, percent).where("not kept").select(F.col("doc_id").alias("__near_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__near_id"], "left_anti").select(*(docs[c] for c in docs.columns))
+    return docs.join(gone.hint("merge"), docs["doc_id"] == gone["__near_id"], "left_anti").select(*(docs[c] for c in docs.columns))
