@@ -7,6 +7,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import pyarrow as pa
 
@@ -86,10 +87,17 @@ _SCOPE = pa.struct([("heading", pa.string()), ("link", pa.string()), ("href", pa
 _CARD = pa.schema([("source_url", pa.string()), ("pos", pa.int32()), ("card_id", pa.int32()), ("above", pa.list_(pa.int32())), ("text", pa.string()), ("scopes", pa.list_(_SCOPE)), ("context", pa.list_(pa.string()))])
 
 
-def _scope(node: Node) -> dict:
+def _absolute(base: str, href: str) -> str:
+    try:
+        return urljoin(base, href)
+    except ValueError:  # a malformed address
+        return href
+
+
+def _scope(node: Node, base: str) -> dict:
     heading = next((x for x in node.walk() if x is not node and x.tag in ("h1", "h2", "h3", "h4", "h5")), None)
     link = next((x for x in node.walk() if x is not node and x.tag == "a" and "href" in x.attrs), None)
-    return {"heading": heading.text("") if heading else None, "link": link.text("") if link else None, "href": link.attrs["href"] if link else None}
+    return {"heading": heading.text("") if heading else None, "link": link.text("") if link else None, "href": _absolute(base, link.attrs["href"]) if link else None}
 
 
 def hinted(html: str, source_url: str | None) -> Iterator[dict]:
@@ -102,7 +110,7 @@ def hinted(html: str, source_url: str | None) -> Iterator[dict]:
         while up:
             lineage.append(up)
             up = up.parent
-        scopes = [_scope(x) for x in [node, *lineage[:2]]]
+        scopes = [_scope(x, source_url or "") for x in [node, *lineage[:2]]]
         yield {"source_url": source_url, "pos": pos, "card_id": node.id, "above": [x.id for x in lineage if x.id in ids], "text": node.text(), "scopes": scopes, "context": [x.text(least=60)[:60] for x in reversed(lineage[:5])]}
 
 

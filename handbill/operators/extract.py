@@ -71,23 +71,18 @@ LD_JSON = r"""(?is)<script[^>]*type\s*=\s*["']application/ld\+json["'][^>]*>(.*?
 DEPTH = 5
 
 
-def _elements(nodes: DataFrame, variant: str) -> DataFrame:
-    """The elements of variant arrays, with their place added to the path."""
-    rows = nodes.where(F.expr(f"schema_of_variant({variant})").startswith("ARRAY"))
-    return nodes.sparkSession.sql("SELECT d.source_url, concat(d.path, array(v.pos)) AS path, v.value AS node FROM {d} d, LATERAL variant_explode(d.list) AS v", d=rows.withColumn("list", F.expr(variant)))
-
-
 def jsonld_nodes(pages: DataFrame, body: str = "html") -> DataFrame:
-    """All objects of a page's structured data: the root, the elements of lists, and of graphs. Blocks that are no JSON go."""
+    """All objects of a page's structured data: the root, the elements of lists, and of graphs. Blocks that are no JSON go. Each level is one
+    explode: an object gives itself, done, and the elements of its graph; a list gives its elements."""
     blocks = pages.select("source_url", F.posexplode(F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(LD_JSON), F.lit(1))).alias("block", "raw"))
-    level = blocks.select("source_url", F.array("block").alias("path"), F.try_parse_json("raw").alias("node")).where("node is not null")
-    out = None
+    level = blocks.select("source_url", F.array("block").alias("path"), F.try_parse_json("raw").alias("node"), F.lit(False).alias("done")).where("node is not null")
     for _ in range(DEPTH):
-        objects = level.where(F.expr("schema_of_variant(node)").startswith("OBJECT"))
-        out = objects if out is None else out.unionByName(objects)
-        inner = objects.withColumn("graph", F.expr("try_variant_get(node, '$[\"@graph\"]', 'variant')")).where("graph is not null")
-        level = _elements(level, "node").unionByName(_elements(inner.select("source_url", "path", F.col("graph").alias("node")), "node"))
-    return out
+        level = level.selectExpr("source_url", "path", "node", "done", "schema_of_variant(node) AS kind").selectExpr("source_url", "path", """inline(concat(
+            CASE WHEN done OR kind LIKE 'OBJECT%' THEN array(struct(node AS node, true AS done, -1 AS at)) ELSE array() END,
+            transform(coalesce(CASE WHEN done THEN NULL WHEN kind LIKE 'ARRAY%' THEN try_variant_get(node, '$', 'array<variant>')
+                WHEN kind LIKE 'OBJECT%' THEN try_variant_get(node, '$["@graph"]', 'array<variant>') END, array()), (x, i) -> struct(x AS node, false AS done, i AS at))))""")
+        level = level.where("node is not null").selectExpr("source_url", "concat(path, array(at)) AS path", "node", "done")
+    return level.where("done OR schema_of_variant(node) LIKE 'OBJECT%'").drop("done")
 
 
 def jsonld(pages: DataFrame, as_of: str, body: str = "html") -> DataFrame:
@@ -122,7 +117,7 @@ def heuristic(pages: DataFrame, as_of: str, body: str = "html") -> DataFrame:
     named = F.filter(F.transform("scopes", lambda s: F.coalesce(F.nullif(s["heading"], F.lit("")), F.when(clean(s["link"]), F.nullif(s["link"], F.lit(""))))), lambda t: t.isNotNull())
     href = F.try_element_at(F.filter(F.transform("scopes", lambda s: s["href"]), lambda h: h.isNotNull()), F.lit(1))
     title = F.coalesce(nonempty(strip(F.coalesce(F.try_element_at(named, F.lit(1)), F.left("text", F.lit(120))))), F.lit("Untitled event"))
-    rows = rows.withColumns({"url": F.when(href.isNotNull(), absolute_url(href, "source_url")).otherwise(F.col("source_url")), "title": title})
+    rows = rows.withColumns({"url": F.coalesce(href, "source_url"), "title": title})
     rows = rows.withColumn("title", F.when(title_looks_noisy("title"), F.coalesce(title_from_slug("url"), F.col("title"))).otherwise(F.col("title")))
     rows = first_titles(rows, ["source_url"], GENERIC_CAP, before=True)
     context = F.concat_ws(" ", F.array_join("context", " "), "text")

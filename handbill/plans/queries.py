@@ -446,3 +446,92 @@ def answer_array(spark, sf_dir):
     answer = F.when(F.col("ordinal") % 4 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).otherwise(F.concat(F.lit("Here they are: "), body, F.lit(" - done.")))
     schema = T.StructType([T.StructField("title", T.StringType()), T.StructField("price", T.DoubleType()), T.StructField("id", T.LongType())])
     return extract.exploded(rows.select("source_url", answer.alias("answer")), "answer", schema).select(F.col("id").alias("ordinal"), "title", "price")
+
+
+@query("""SELECT ordinal, CASE WHEN price = 0 THEN 'price-free' WHEN price > 0 THEN 'price-paid' ELSE 'price-unknown' END AS class,
+  CASE WHEN price = 0 THEN 'Free' WHEN price > 0 THEN '€' || regexp_replace(price::VARCHAR, '[.]0$', '') ELSE 'Price TBD' END AS display FROM listings""")
+def price_cards(spark, sf_dir):
+    return listings(spark, sf_dir).select("ordinal", prices.price_class("price").alias("class"), prices.price_display("price").alias("display"))
+
+
+@query("""SELECT page_id, CASE page_id % 4 WHEN 0 THEN regexp_extract(url, '^[a-z]+://[^/?#]*') || '/e/' || page_id WHEN 1 THEN 'https://other.example/' || page_id
+  WHEN 2 THEN regexp_extract(url, '^[a-z]+:') || '//cdn.example/x' ELSE regexp_extract(url, '^[^?#]*') || '?p=' || page_id END AS link FROM pages""", False)
+def resolved_links(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages")
+    n = F.col("page_id").cast("string")
+    href = F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("/e/"), n)).when(F.col("page_id") % 4 == 1, F.concat(F.lit("https://other.example/"), n)).when(F.col("page_id") % 4 == 2, "//cdn.example/x").otherwise(F.concat(F.lit("?p="), n))
+    return rows.select("page_id", text.absolute_url(href, "url").alias("link"))
+
+
+@query("SELECT count(*) FILTER (TRY_CAST(date AS DATE) IS NULL) AS bad_dates, count(*) FILTER (price < 0) AS negative_prices, count(*) FILTER (price IS NULL) AS unknown_prices, count(*) FILTER (coalesce(title, '') = '') AS untitled FROM listings")
+def quality_metrics(spark, sf_dir):
+    return report.quality_metrics(listings(spark, sf_dir))
+
+
+@query("SELECT title, date, coalesce(time, '') AS time, price, coalesce(category, '') AS category, coalesce(url, 'https://a.example') AS url, 'https://a.example' AS source_url FROM listings")
+def agent_listings(spark, sf_dir):
+    return merge.agent_listings(listings(spark, sf_dir), "https://a.example").select("title", "date", "time", "price", "category", "url", "source_url")
+
+
+_CHEAP = f"l AS (SELECT *, {_PAGE} AS page, (ordinal % 3000) / 100.0 AS p FROM listings), t AS (SELECT *, row_number() OVER (PARTITION BY page, lower(title) ORDER BY ordinal) AS nth FROM l WHERE p <= 15)"
+
+
+@query(f"+ {_CHEAP} SELECT page AS source_url, title, '{AS_OF}' AS date, coalesce(time, '') AS time, p::DOUBLE AS price, source_url || '/e' AS url FROM t WHERE nth = 1")
+def markdown_meetup(spark, sf_dir):
+    rows = _marked(spark, sf_dir)
+    line = F.concat(F.lit("- ["), F.col("title"), F.lit("]("), F.col("source_url"), F.lit("/e) rsvp"), F.coalesce(F.concat(F.lit(" "), F.col("time")), F.lit("")), F.lit(" for "), euro(F.col("cents")), F.lit(" EUR"))
+    return extract.markdown_meetup(pages_of(rows, line, "\n", name="markdown"), AS_OF).select("source_url", "title", "date", "time", "price", "url")
+
+
+@query(f"+ {_CHEAP} SELECT page AS source_url, title, '{AS_OF}' AS date, '' AS time, p::DOUBLE AS price, 'Berlin' AS venue FROM t WHERE nth = 1")
+def markdown_tickets(spark, sf_dir):
+    rows = _marked(spark, sf_dir)
+    line = F.concat(F.lit("[ "), F.col("title"), F.lit("](https://t.example/x) tickets "), euro(F.col("cents")), F.lit(" €"))
+    return extract.markdown_tickets(pages_of(rows, line, "\n", name="markdown"), AS_OF).select("source_url", "title", "date", "time", "price", "venue")
+
+
+@query(f"+ l AS (SELECT *, {_PAGE} AS page FROM listings WHERE time IS NOT NULL) SELECT page AS source_url, title, time, CASE WHEN ordinal % 4 = 0 THEN 0.0 ELSE (ordinal % 3000) / 100.0 END::DOUBLE AS price, 'music' AS category FROM l")
+def markdown_programme(spark, sf_dir):
+    rows = _marked(spark, sf_dir)
+    price = F.when(F.col("ordinal") % 4 == 0, F.lit("Free admission")).otherwise(F.concat(F.lit("from "), euro(F.col("cents")), F.lit(" €")))
+    line = F.concat(F.lit("![Image 3: "), F.col("title"), F.lit("](https://i.example/3) "), F.coalesce("time", F.lit("soon")), F.lit(" "), price)
+    return extract.markdown_programme(pages_of(rows, line, "\n", name="markdown"), AS_OF).select("source_url", "title", "time", "price", "category")
+
+
+_CARDS = f"l AS (SELECT *, {_PAGE} AS page, (ordinal % 3000) / 100.0 AS p FROM listings)"
+
+
+@query(f"""+ {_CARDS} SELECT page AS source_url, title, date, '' AS time, CASE WHEN ordinal % 6 = 0 THEN 0.0 ELSE p END::DOUBLE AS price, venue, 'https://meetup.com/e/' || ordinal AS url
+FROM l WHERE ordinal % 6 = 0 OR p <= 15""")
+def meetup_cards(spark, sf_dir):
+    rows = _marked(spark, sf_dir)
+    amount = F.concat((F.col("cents") / 100).cast("int").cast("string"), F.lit("."), F.lpad((F.col("cents") % 100).cast("string"), 2, "0"))
+    price = F.when(F.col("ordinal") % 6 == 0, F.lit("")).otherwise(F.concat(F.lit('<b class="price">€'), amount, F.lit("</b>")))
+    card = F.concat(F.lit('<div class="event-card"><h3>'), F.col("title"), F.lit("</h3><time>"), F.col("date"), F.lit('</time><i class="venue">'), F.col("venue"), F.lit("</i>"), price, F.lit('<a href="/e/'), F.col("ordinal").cast("string"), F.lit('">go</a></div>'))
+    found = extract.meetup_cards(pages_of(rows, card, "\n", "<html><body>", "</body></html>", "html"), AS_OF)
+    return found.select("source_url", "title", "date", "time", "price", "venue", "url")
+
+
+@query(f"""+ {_CARDS} SELECT page AS source_url, title, CASE WHEN ordinal % 6 = 0 THEN 0.0 ELSE p END::DOUBLE AS price, 'Event at Berlin on ' || date AS description, 'https://www.eventbrite.de/e/' || ordinal AS url
+FROM l WHERE ordinal % 6 = 0 OR p <= 15""")
+def ticket_cards(spark, sf_dir):
+    rows = _marked(spark, sf_dir)
+    price = F.when(F.col("ordinal") % 6 == 0, F.lit("")).otherwise(F.concat(F.lit('<p class="price-tag">ab '), euro(F.col("cents")), F.lit("</p>")))
+    card = F.concat(F.lit("<article><h2>"), F.col("title"), F.lit('</h2><span class="date">'), F.col("date"), F.lit("</span>"), price, F.lit('<a href="/e/'), F.col("ordinal").cast("string"), F.lit('">go</a></article>'))
+    found = extract.ticket_cards(pages_of(rows, card, "\n", "<html><body>", "</body></html>", "html"), AS_OF)
+    return found.select("source_url", "title", "price", "description", "url")
+
+
+@query(f"""+ {_CARDS}, a AS (SELECT DISTINCT page, (ordinal // {PER_PAGE}) % 3 AS kind FROM l)
+SELECT page AS source_url, title, CASE kind WHEN 0 THEN 0 ELSE 4 END AS tier, p::DOUBLE AS price FROM (SELECT l.*, kind, row_number() OVER (PARTITION BY page, lower(title) ORDER BY ordinal) AS nth FROM l JOIN a USING (page)) WHERE kind = 0 OR nth = 1""")
+def extraction_cascade(spark, sf_dir):
+    """Pages of three kinds: with structured data, behind a bot check, and with markdown alone."""
+    rows = _marked(spark, sf_dir)
+    amount = F.concat((F.col("cents") / 100).cast("int").cast("string"), F.lit("."), F.lpad((F.col("cents") % 100).cast("string"), 2, "0"))
+    node = F.to_json(F.struct(F.lit("Event").alias("@type"), F.col("title").alias("name"), F.struct(amount.alias("price")).alias("offers")))
+    line = F.concat(F.lit("["), F.col("title"), F.lit("](https://m.example/x) "), euro(F.col("cents")), F.lit(" €"))
+    html = pages_of(rows, node, ",", '<html><script type="application/ld+json">[', "]</script></html>", "html")
+    pages = html.join(pages_of(rows, line, "\n", name="markdown"), "source_url").withColumn("kind", F.regexp_extract("source_url", r"(\d+)$", 1).cast("long") % 3)
+    plain = F.when(F.col("kind") == 0, F.col("html")).when(F.col("kind") == 1, F.concat(F.lit("<title>Just a moment...</title>"), F.col("html")))
+    pages = pages.select("source_url", plain.alias("html"), F.lit(None).cast("string").alias("rendered"), "markdown")
+    return extract.cascade(pages, AS_OF).select("source_url", "title", F.col("tier"), "price")
