@@ -75,7 +75,7 @@ def test_calendar(spark):
     df = make(spark, {"title": "A, B; C\\D", "time": "7.30", "url": "https://u", "description": "x\ny"}, {"date": "soon"}, {"time": ""})
     text = browse.calendar(df, F.col("ordinal"))
     assert text.count("BEGIN:VEVENT") == 2 and "DTSTART:20240115T073000" in text and "DTSTART;VALUE=DATE:20240115" in text
-    assert "SUMMARY:A\\, B\; C\\\\D" in text and "DESCRIPTION:x\\ny\\nhttps://u" in text and text.endswith("END:VCALENDAR")
+    assert "SUMMARY:A\\, B\\; C\\\\D" in text and "DESCRIPTION:x\\ny\\nhttps://u" in text and text.endswith("END:VCALENDAR")
 
 
 def test_reports(spark):
