@@ -147,5 +147,5 @@ def mixed(docs: DataFrame, weights=(1, 2, 3), most: float = MOST, seed: int = 0)
 def mix(docs: DataFrame, weights=(1, 2, 3), most: float = MOST, seed: int = 0) -> DataFrame:
     """The documents as often as the mix takes them, with their own columns."""
     chosen = copies(docs, weights, most, seed).select(F.col("unit_id").alias("__mix_id"), F.col("unit_source").alias("__mix_source"), F.col("copies").alias("__mix_copies")).where("__mix_copies > 0")
-    both = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["__mix_id"]) & docs["source"].eqNullSafe(chosen["__mix_source"]))
+    both = docs.join(chosen.hint("merge"), docs["doc_id"].eqNullSafe(chosen["__mix_id"]) & docs["source"].eqNullSafe(chosen["__mix_source"]))
     return both.withColumn("__mix_nth", F.explode(F.sequence(F.lit(1), F.col("__mix_copies")))).select(*(docs[c] for c in docs.columns))
