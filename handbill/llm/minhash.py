@@ -9,7 +9,7 @@ Documents of one set are one class first (a sum of hashes, pre-aggregated), so c
 In a band, classes are not paired with each other: all are compared with the band's pivot, its smallest class,
 on their full sets. That joins groups of near copies at the cost of one comparison a member. Bands whose classes then lie in more than
 one component are open. Their classes get a second, five times longer min-max signature, of which longer bands
-and one bit of each value are kept. In each longer band, the classes outside its largest component meet the classes of other components whose bits differ in few
+and one bit of each value, of four times as many, are kept. In each longer band, the classes outside its largest component meet the classes of other components whose bits differ in few
 places (five standard deviations beyond what the threshold gives); these pairs are confirmed on full sets too.
 So every pair that shares the bands and could join two components is decided, none is capped, and the pairs of one component cost nothing.
 
@@ -30,12 +30,14 @@ from .common import discard, mix, pieces, stored, text_bytes, words
 from .components import components
 
 PERMUTATIONS, LONG_PERMUTATIONS = 50, 256
+#: Hash functions of the one-bit signature; the first LONG_PERMUTATIONS make the longer bands.
+BIT_PERMUTATIONS = 1024
 #: The chance that a pair at the threshold shares no band, at most.
 MISS = 2e-5
 
 _rng = np.random.default_rng(8128)
-_A = _rng.integers(0, 2**63, LONG_PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _rng.integers(0, 2**63, LONG_PERMUTATIONS, dtype=np.uint64)
+_A = _rng.integers(0, 2**63, BIT_PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _rng.integers(0, 2**63, BIT_PERMUTATIONS, dtype=np.uint64)
 _PLACE = _rng.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -65,28 +67,29 @@ def shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sets) if sets else h[:0], np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
 
 
-def bands(values: np.ndarray, at: np.ndarray, rows: int, permutations: int = PERMUTATIONS, bits: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
-    """Band keys of the sets, a row each, and one bit of each value packed into 64-bit words; the sets are not empty."""
+def _extremes(values: np.ndarray, first: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each set, the least and the largest value under one hash function."""
+    v = values * _A[p] + _B[p]
+    v ^= v >> np.uint64(32)
+    return np.minimum.reduceat(v, first), np.maximum.reduceat(v, first)
+
+
+def bands(values: np.ndarray, at: np.ndarray, rows: int, permutations: int = PERMUTATIONS, bits: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys of the sets, a row each, and one bit of each value of ``bits`` hash functions in 64-bit words; the sets are not empty."""
     first = at[:-1]
     count = permutations // rows
     out = np.empty((len(first), 2 * count), np.uint64)
-    packed = np.zeros((len(first), 2 * permutations // 64), np.uint64) if bits else None
+    packed = np.zeros((len(first), 2 * bits // 64), np.uint64)
     with np.errstate(over="ignore"):
-        for band in range(-(-permutations // rows)):
-            low = np.full(len(first), 2 * band + 1, np.uint64)
-            high = low + np.uint64(1)
-            for row in range(min(rows, permutations - band * rows)):
-                p = band * rows + row
-                v = values * _A[p] + _B[p]
-                v ^= v >> np.uint64(32)
-                least, most = np.minimum.reduceat(v, first), np.maximum.reduceat(v, first)
-                low = mix(low + least * _PLACE[row])
-                high = mix(high + most * _PLACE[row])
-                if bits:
-                    for k, x in ((2 * p, least), (2 * p + 1, most)):
-                        packed[:, k // 64] |= (mix(x) & np.uint64(1)) << np.uint64(k % 64)
+        for p in range(max(count * rows, bits)):
+            least, most = _extremes(values, first, p)
+            band, row = divmod(p, rows)
             if band < count:
-                out[:, 2 * band], out[:, 2 * band + 1] = low, high
+                for k, x in ((2 * band, least), (2 * band + 1, most)):
+                    out[:, k] = mix((out[:, k] if row else np.uint64(k + 1)) + x * _PLACE[row])
+            if p < bits:
+                for k, x in ((2 * p, least), (2 * p + 1, most)):
+                    packed[:, k // 64] |= (mix(x) & np.uint64(1)) << np.uint64(k % 64)
     return out, packed
 
 
@@ -127,7 +130,7 @@ def _sets(k: int):
     return run
 
 
-_LONG = pa.schema([("rep", pa.int64()), ("bands", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
+_LONG = pa.schema([("rep", pa.int64()), ("bands", pa.list_(pa.int64())), ("brief", pa.list_(pa.int32())), ("bits", pa.list_(pa.int64()))])
 
 
 def _sign_longer(rows: int):
@@ -138,9 +141,9 @@ def _sign_longer(rows: int):
                 lists = part.column("set")
                 at = lists.offsets.to_numpy().astype(np.int64)
                 values = lists.flatten().to_numpy().view(np.uint64)
-                keys, packed = bands(values, at - at[0], rows, LONG_PERMUTATIONS, True)
-                flat = lambda m: pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32()), pa.array(m.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), flat(keys), flat(packed)], schema=_LONG)
+                keys, packed = bands(values, at - at[0], rows, LONG_PERMUTATIONS, BIT_PERMUTATIONS)
+                flat = lambda m: pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32()), pa.array(m.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column("id"), flat(keys.view(np.int64)), flat((keys >> np.uint64(32)).astype(np.uint32).view(np.int32)), flat(packed.view(np.int64))], schema=_LONG)
 
     return run
 
@@ -178,16 +181,17 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     split = here.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m")).where("low <> high and m > 2").select("band")
     open_ = stored(here.join(split, "band", "left_semi").groupBy("rep").agg(F.first("n").alias("n"), F.first("label").alias("label")), "near-open")
     rows = band_rows(similarity, LONG_PERMUTATIONS)
-    longer = sets.join(open_, F.col("id") == F.col("rep"), "left_semi").where(F.size("set") > 0).mapInArrow(_sign_longer(rows), "rep long, bands array<long>, bits array<long>")
-    longer = stored(longer.join(open_, "rep").select("rep", "n", "label", "bits", F.explode("bands").alias("band")), "near-longer")
+    longer = sets.join(open_, F.col("id") == F.col("rep"), "left_semi").where(F.size("set") > 0).mapInArrow(_sign_longer(rows), "rep long, bands array<long>, brief array<int>, bits array<long>")
+    longer = stored(longer.join(open_, "rep").select("rep", "n", "label", "brief", "bits", F.posexplode("bands").alias("nth", "band")), "near-longer")
     sizes = longer.groupBy("band", "label").agg(F.count("*").alias("m")).groupBy("band").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("band", "main")
     mixed = longer.join(sizes, "band")
     p = (1 - similarity) / 2
-    n_bits = 2 * LONG_PERMUTATIONS
+    n_bits = 2 * BIT_PERMUTATIONS
     far = int(n_bits * p + 5 * (n_bits * p * (1 - p)) ** 0.5)
     some, other = mixed.where("label <> main").alias("x"), mixed.alias("y")
     differ = sum((F.bit_count(F.get("x.bits", i).bitwiseXOR(F.get("y.bits", i))) for i in range(n_bits // 64)), F.lit(0))
-    meet = (F.col("x.band") == F.col("y.band")) & (F.col("x.label") != F.col("y.label")) & ((F.col("y.label") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))) & similar("x.n", "y.n") & (differ <= far)
+    before = F.zip_with(F.slice("x.brief", F.lit(1), F.col("x.nth")), F.slice("y.brief", F.lit(1), F.col("x.nth")), lambda a, b: a == b)  # a pair meets in its first band only
+    meet = (F.col("x.band") == F.col("y.band")) & (F.col("x.label") != F.col("y.label")) & ((F.col("y.label") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))) & similar("x.n", "y.n") & (differ <= far) & ~F.exists(before, lambda c: c)
     pairs = some.join(other, meet).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
     found = stored(_confirmed(pairs, sets, percent), "near-found")
     discard(members, here, open_, longer)

@@ -55,7 +55,7 @@ def test_bands_miss_little_and_estimate_without_bias():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 2**63, 400, dtype=np.uint64)
     b = np.concatenate([a[:300], rng.integers(0, 2**63, 100, dtype=np.uint64)])
-    keys, bits = minhash.bands(np.concatenate([np.unique(a), np.unique(b)]), np.array([0, 400, 800]), 1, 256, True)
+    keys, bits = minhash.bands(np.concatenate([np.unique(a), np.unique(b)]), np.array([0, 400, 800]), 1, 256, 256)
     assert abs((keys[0] == keys[1]).mean() - 0.6) < 0.1
     assert abs(1 - 2 * sum(int(x).bit_count() for x in bits[0] ^ bits[1]) / 512 - 0.6) < 0.15
 
