@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_mod, grams, pieces, stream, text_bytes, words
 
-SAMPLE = 250
+SAMPLE = 200
 BITS, ORDERS = 16, (2, 3, 4)
 EPOCHS, RATE, SEED = 3, 0.3, 11
 #: Words to a training chain, to a joined span at most, and to a segment when predicting.
@@ -190,21 +190,24 @@ def train(texts: list[str], labels: list[str], epochs: int = EPOCHS, rate: float
         return Model(languages, weights, transitions)
     kinds, lexicon, first, _, _ = _word_features(column)
     # flat features of each word: (word, bucket + offset of its kind)
-    pairs = [np.stack([np.arange(len(lexicon)), lexicon])]
-    for j, (ids, valid) in enumerate(kinds):
-        spot = np.flatnonzero(valid)
-        pairs.append(np.stack([np.searchsorted(first, spot, "right") - 1, ids[spot].astype(np.int64) + ((j + 1) << BITS)]))
-    pairs = np.concatenate(pairs, axis=1)
-    pairs = pairs[:, np.argsort(pairs[0], kind="stable")]
-    edge = np.searchsorted(pairs[0], np.arange(len(lexicon) + 1))
+    owner, bucket = [np.arange(len(lexicon), dtype=np.int32)], [lexicon]
+    while kinds:
+        ids, valid = kinds.pop()
+        spot = np.flatnonzero(valid).astype(np.int32)
+        owner.append((np.searchsorted(first, spot, "right") - 1).astype(np.int32))
+        bucket.append(ids[spot] + np.int32((len(kinds) + 1) << BITS))
+    owner, bucket = np.concatenate(owner), np.concatenate(bucket)
+    bucket = bucket[np.argsort(owner, kind="stable")]
+    edge = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(lexicon)))])
+    del owner
     flat = weights.reshape(count, -1)
     seen, seen_t = np.full(flat.shape, 1e-6, np.float32), np.full(transitions.shape, 1e-6)
-    batch = 256
+    batch = 128
     for _ in range(epochs):
         for at in np.array_split(rng.permutation(len(place)), max(1, len(place) // batch)):
             spots, y = place[at].ravel(), label[at].ravel()
             n = edge[spots + 1] - edge[spots]
-            feature = pairs[1][np.repeat(edge[spots], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+            feature = bucket[np.repeat(edge[spots], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
             word = np.repeat(np.arange(len(spots)), n)
             emission = np.stack([np.bincount(word, f[feature], len(spots)) for f in flat], 1).reshape(len(at), CHAIN, count)
             post, pair = _expected(emission, transitions)
@@ -262,7 +265,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text", 1 << 22):
+            for part in pieces(batch, "text"):
                 names, scores = model.predict(part.column("text"))
                 lettered_ = part.column("lettered").to_numpy(zero_copy_only=False)
                 names = [x if ok else UNKNOWN for x, ok in zip(names, lettered_, strict=True)]
@@ -277,7 +280,7 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.35) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text", 1 << 22):
+            for part in pieces(batch, "text"):
                 names, scores = model.predict(part.column("text"))
                 keep = (scores >= least) & (np.array(names, object) != UNKNOWN)
                 yield part.filter(pa.array(keep))
