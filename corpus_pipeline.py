@@ -15,8 +15,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of 3 lines or 50 words go, and documents that lose all their text by it."""
-    return lines.without_repeated_runs(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    """Later copies of runs of 3 lines or 50 words go, then those of passages of 50 words that are no whole lines, and documents that lose all their text by it."""
+    docs = stored(lines.without_repeated_runs(docs), "pipeline-lines")
+    return lines.without_repeated_passages(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .common import WORD, discard, stored
 
 MIN_LINES, MIN_WORDS = 3, 50
+#: Words of a passage; its mark is the least of REACH hashes of GRAM words, all inside: GRAM + REACH - 1 <= PASSAGE. All are made by doubling.
+PASSAGE, GRAM, REACH = 50, 16, 32
 
 
 def _lines(text: str = "text") -> Column:
@@ -55,19 +57,24 @@ def windows(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WO
     return rows.select("doc_id", "text_hash", "pos", "m", least.alias("mark"), over(lambda x: F.xxhash64(*(y["h1"] for y in x))).alias("w1"), over(lambda x: F.xxhash64(F.lit(7), *(y["h2"] for y in x))).alias("w2"), over(lambda x: F.greatest(*(F.when(y["h1"] == least, F.lit(i)) for i, y in enumerate(x)), F.lit(-1))).alias("mark_at"))
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_hash, start, end): the maximal runs of lines [start, end) that repeat earlier text."""
-    every = stored(windows(docs, min_lines, min_words), "lines-windows")
-    place = F.struct("doc_id", "text_hash", (F.col("pos") + F.col("mark_at")).alias("pos"))
-    marks = every.groupBy("mark").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("mark")
-    some = stored(every.join(marks, "mark", "left_semi"), "lines-marked")
+def _later_runs(some: DataFrame, name: str) -> DataFrame:
+    """The windows (w1, w2, m) that match one at an earlier place, merged into maximal runs [start, end)."""
     here = F.struct("doc_id", "text_hash", "pos")
     first = some.groupBy("w1", "w2", "m").agg(F.min(here).alias("first"))
     later = some.join(first, ["w1", "w2", "m"]).where(here > F.col("first")).select("doc_id", "text_hash", "pos", (F.col("pos") + F.col("m")).alias("to")).distinct()
     by = Window.partitionBy("doc_id", "text_hash").orderBy("pos", "to")
     reach = F.max("to").over(by.rowsBetween(Window.unboundedPreceding, -1))
     run = F.sum(F.when(F.col("pos") <= reach, 0).otherwise(1)).over(by.rowsBetween(Window.unboundedPreceding, 0))
-    runs = stored(later.withColumn("run", run).groupBy("doc_id", "text_hash", "run").agg(F.min("pos").alias("start"), F.max("to").alias("end")).drop("run"), "lines-runs")
+    return stored(later.withColumn("run", run).groupBy("doc_id", "text_hash", "run").agg(F.min("pos").alias("start"), F.max("to").alias("end")).drop("run"), name)
+
+
+def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, text_hash, start, end): the maximal runs of lines [start, end) that repeat earlier text."""
+    every = stored(windows(docs, min_lines, min_words), "lines-windows")
+    place = F.struct("doc_id", "text_hash", (F.col("pos") + F.col("mark_at")).alias("pos"))
+    marks = every.groupBy("mark").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("mark")
+    some = stored(every.join(marks, "mark", "left_semi"), "lines-marked")
+    runs = _later_runs(some, "lines-runs")
     discard(every, some)
     return runs
 
@@ -91,3 +98,73 @@ def without_repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words
         deleted = F.aggregate(F.coalesce("__runs", F.array().cast("array<struct<start:int,end:int>>")), F.lit(0), lambda a, r: a + r["end"] - r["start"])
         out += [F.coalesce(F.size(F.when(F.col("text").isNotNull(), _lines())), F.lit(0)).alias("n_lines"), deleted.alias("n_deleted"), F.col("__runs").alias("deleted_runs")]
     return rows.select(*out)
+
+
+def _pairs(x: str, apart: int, f) -> Column:
+    """f of each element and the one ``apart`` further on; at the end, of what is there."""
+    return F.zip_with(x, F.slice(x, F.lit(apart + 1), F.size(x)), f)
+
+
+def _marked(docs: DataFrame, full: bool) -> DataFrame:
+    """(doc_id, text_hash, marks, w1[, w2]): of each text the marks of its windows, and the content hashes of the windows, by place."""
+    rows = docs.where(F.regexp_count("text", F.lit(WORD)) >= PASSAGE).select("doc_id", F.xxhash64("text").alias("text_hash"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("x"))
+    lanes = ["w1", "w2"] if full else ["w1"]
+    hashes = [F.transform("x", lambda x: F.xxhash64(x)), F.transform("x", lambda x: F.xxhash64(F.lit(7), x))]
+    rows = rows.select("doc_id", "text_hash", *(h.alias(c) for h, c in zip(hashes, lanes, strict=False)))
+    n = 1
+    while 2 * n <= PASSAGE:
+        if n == GRAM:
+            rows = rows.withColumn("marks", F.slice("w1", F.lit(1), F.size("w1") - GRAM + 1))
+        rows = rows.withColumns({c: _pairs(c, n, lambda a, b: F.xxhash64(a, b)) for c in lanes})
+        n *= 2
+    k = 1
+    while k < REACH:
+        rows = rows.withColumn("marks", _pairs("marks", k, lambda a, b: F.least(a, b)))
+        k *= 2
+    whole = lambda c: F.slice(c, F.lit(1), F.size("w1") - PASSAGE + 1)
+    # two overlapping halves make the window
+    rows = rows.withColumns({"marks": whole("marks"), **{c: whole(_pairs(c, PASSAGE - n, lambda a, b: F.xxhash64(a, b))) for c in lanes}})
+    return rows
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, start, end): the maximal runs of words [start, end) that lie in windows of PASSAGE words of earlier text."""
+    # outer: the filter that an inner explode infers is pushed down through the doubling, and grows threefold with each step
+    once = _marked(docs, False)
+    once = once.select("doc_id", "text_hash", F.array_distinct("marks").alias("marks"), (F.size(F.array_distinct("w1")) < F.size("w1")).alias("again"))
+    every = stored(once.select("doc_id", "text_hash", "again", F.explode_outer("marks").alias("mark")), "passages-marks")
+    place = F.struct("doc_id", "text_hash")
+    # a document that repeats its own words shares its marks with itself
+    shared = every.groupBy("mark").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.max("again").alias("again")).where("low <> high OR again").select("mark")
+    shared = stored(shared, "passages-shared")
+    some = every.join(shared, "mark", "left_semi").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    rows = docs.select("doc_id", "text").join(some.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left_semi")
+    rows = _marked(rows, True).select("doc_id", "text_hash", F.posexplode_outer(F.arrays_zip("marks", "w1", "w2")).alias("pos", "at"))
+    rows = rows.select("doc_id", "text_hash", "pos", F.lit(PASSAGE).alias("m"), F.col("at.marks").alias("mark"), "at.w1", "at.w2")
+    met = stored(rows.join(shared, "mark", "left_semi").drop("mark"), "passages-windows")
+    runs = _later_runs(met, "passages-runs")
+    discard(every, shared, met)
+    return runs
+
+
+def without_repeated_passages(docs: DataFrame) -> DataFrame:
+    """The documents without the later copies of passages of PASSAGE words, wherever in a line they stand. A deleted run takes the white space
+    before it along; where only that has a line break, it stays in place of the white space after the run."""
+    runs = repeated_passages(docs)
+    runs = runs.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__runs")).select(F.col("doc_id").alias("__line_id"), F.col("text_hash").alias("__line_hash"), "__runs")
+    rows = docs.withColumn("__hash", F.xxhash64("text"))
+    rows = rows.join(runs.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__line_id")) & (F.col("__hash") == F.col("__line_hash")), "left")
+    white = r"[\x20\x09-\x0D]"
+    rows = rows.withColumn("__words", F.when(F.col("__runs").isNotNull(), F.regexp_extract_all("text", F.lit(f"{white}*{WORD}"), F.lit(0))))
+    before = lambda at: F.regexp_extract(F.get("__words", at), f"^{white}*", 0)
+
+    def stretch(r: Column, to: Column) -> Column:
+        """The words from a run's end to the next run, with the white space that stays before them."""
+        said = F.array_join(F.slice("__words", r["end"] + 1, to - r["end"]), "")
+        gap = before(r["start"])
+        return F.when(r["start"] == 0, F.regexp_replace(said, f"^{white}+", "")).when(F.contains(gap, F.lit("\n")) & ~F.contains(before(r["end"]), F.lit("\n")), F.concat(gap, F.regexp_replace(said, f"^{white}+", ""))).otherwise(said)
+
+    head = F.array_join(F.slice("__words", F.lit(1), F.get("__runs", F.lit(0))["start"]), "")
+    tails = F.transform("__runs", lambda r, i: stretch(r, F.coalesce(F.get("__runs", i + 1)["start"], F.size("__words"))))
+    kept = F.when(F.col("__runs").isNull(), F.col("text")).otherwise(F.concat(head, F.array_join(tails, ""), F.regexp_extract("text", f"{white}*$", 0)))
+    return rows.select(*(kept.alias(c) if c == "text" else F.length(kept).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))

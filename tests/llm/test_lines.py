@@ -56,3 +56,52 @@ def test_runs_and_clean_text(docs_of):
 def test_native_plan(docs_of):
     plan = lines.without_repeated_runs(docs_of((1, "a\nb"), (2, "a\nb")))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def brute_passages(rows):
+    """The definition: a word goes if it is in a window of PASSAGE words that occurs at an earlier place."""
+    n, seen, out = lines.PASSAGE, set(), {}
+    for i, t in sorted(rows):
+        ws, gone = t.split(), set()
+        for p in range(len(ws) - n + 1):
+            key = tuple(ws[p : p + n])
+            if key in seen:
+                gone |= set(range(p, p + n))
+            seen.add(key)
+        out[i] = [w for p, w in enumerate(ws) if p not in gone]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_passages_match_the_definition(docs_of, seed):
+    rng = random.Random(seed)
+    pool = [[f"p{k}w{rng.randrange(40)}" for _ in range(rng.choice([49, 50, 51, 80, 130]))] for k in range(8)]
+    rows = []
+    for i in range(40):
+        ws = []
+        for _ in range(rng.randrange(1, 5)):
+            ws += [f"d{i}x{rng.randrange(9)}" for _ in range(rng.randrange(6))]
+            p = rng.choice(pool)
+            ws += p[rng.choice([0, 0, 5]) :]
+        rows.append((i, "".join(w + rng.choice([" ", " ", "\n", "  "]) for w in ws)))
+    rows += [(100, "a " * 300), (101, "short"), (102, "")]
+    got = lines.without_repeated_passages(docs_of(*rows, extra="pos"))
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "pos"]
+    assert {r.doc_id: r.text.split() for r in got.collect()} == brute_passages(rows)
+
+
+def test_passages_inside_lines(docs_of):
+    passage = " ".join(f"word{k}" for k in range(55))
+    rows = [(1, f"glued to {passage} more\nend"), (2, f"in a longer {passage} line\nlast"), (3, f"first\n{passage} rest"), (4, f"{passage}\nend\n"), (5, f"a  b\n{passage}"), (6, None), (7, "x \n")]
+    got = {r.doc_id: r for r in lines.without_repeated_passages(docs_of(*rows)).collect()}
+    assert [got[i].text for i in range(1, 8)] == [rows[0][1], "in a longer line\nlast", "first\nrest", "end\n", "a  b", None, "x \n"] and got[3].n_chars == 10
+
+
+def test_passages_go_in_the_pipeline(spark, docs_of):
+    import corpus_pipeline as p
+
+    passage = " ".join(f"word{k}" for k in range(55))
+    got = {r.doc_id: r.text for r in p.line_dedup(spark, docs_of((1, f"glued to {passage} more"), (2, f"in a longer {passage} line")), "").collect()}
+    assert got == {1: f"glued to {passage} more", 2: "in a longer line"}
+    plan = lines.without_repeated_passages(docs_of((1, "a\nb"), (2, "a\nb")))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
