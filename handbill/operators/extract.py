@@ -67,22 +67,22 @@ def markdown_tickets(pages: DataFrame, as_of: str, body: str = "markdown", most:
 # --- structured data -------------------------------------------------------------------------------
 
 LD_JSON = r"""(?is)<script[^>]*type\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script>"""
-#: How many lists and graphs may lie in one another.
-DEPTH = 5
 
 
 def jsonld_nodes(pages: DataFrame, body: str = "html") -> DataFrame:
-    """All objects of a page's structured data: the root, the elements of lists, and of graphs. Blocks that are no JSON go. Each level is one
-    explode: an object gives itself, done, and the elements of its graph; a list gives its elements."""
+    """All objects of a page's structured data: the root, the elements of lists, and of graphs. Blocks that are no JSON go. A block is opened
+    level by level, as often as its brackets lie in one another: an object gives itself, done, and the elements of its graph; a list gives its elements."""
     blocks = pages.select("source_url", F.posexplode(F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(LD_JSON), F.lit(1))).alias("block", "raw"))
-    level = blocks.select("source_url", F.array("block").alias("path"), F.try_parse_json("raw").alias("node"), F.lit(False).alias("done")).where("node is not null")
-    for _ in range(DEPTH):
-        level = level.selectExpr("source_url", "path", "node", "done", "schema_of_variant(node) AS kind").selectExpr("source_url", "path", """inline(concat(
-            CASE WHEN done OR kind LIKE 'OBJECT%' THEN array(struct(node AS node, true AS done, -1 AS at)) ELSE array() END,
-            transform(coalesce(CASE WHEN done THEN NULL WHEN kind LIKE 'ARRAY%' THEN try_variant_get(node, '$', 'array<variant>')
-                WHEN kind LIKE 'OBJECT%' THEN try_variant_get(node, '$["@graph"]', 'array<variant>') END, array()), (x, i) -> struct(x AS node, false AS done, i AS at))))""")
-        level = level.where("node is not null").selectExpr("source_url", "concat(path, array(at)) AS path", "node", "done")
-    return level.where("done OR schema_of_variant(node) LIKE 'OBJECT%'").drop("done")
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("raw", r"(?s)\\.", ""), r'"[^"]*"', ""), r"[^\[\]]", "")
+    level = blocks.select("source_url", "block", F.try_parse_json("raw").alias("node"), bare.alias("bare")).where("node is not null")
+    level = level.selectExpr("source_url", "block", "node", """aggregate(split(bare, ''), struct(0 AS at, 0 AS most), (a, x) -> struct(
+        a.at + CASE x WHEN '[' THEN 1 WHEN ']' THEN -1 ELSE 0 END AS at, greatest(a.most, a.at + CASE x WHEN '[' THEN 1 ELSE 0 END) AS most), a -> a.most) AS depth""")
+    # outer: an inner one would infer a filter that opens each block twice
+    level = level.selectExpr("source_url", """inline_outer(aggregate(filter(sequence(0, depth), i -> i > 0), array(struct(array(block) AS path, node AS node, false AS done)), (level, i) -> flatten(transform(level, n -> concat(
+        CASE WHEN n.done THEN array(n) WHEN schema_of_variant(n.node) LIKE 'OBJECT%' THEN array(struct(concat(n.path, array(-1)) AS path, n.node AS node, true AS done)) ELSE array() END,
+        transform(coalesce(CASE WHEN n.done THEN NULL WHEN schema_of_variant(n.node) LIKE 'ARRAY%' THEN try_variant_get(n.node, '$', 'array<variant>')
+            WHEN schema_of_variant(n.node) LIKE 'OBJECT%' THEN try_variant_get(n.node, '$["@graph"]', 'array<variant>') END, array()), (x, k) -> struct(concat(n.path, array(k)) AS path, x AS node, false AS done)))))))""")
+    return level.where("node is not null AND (done OR schema_of_variant(node) LIKE 'OBJECT%')").drop("done")
 
 
 def jsonld(pages: DataFrame, as_of: str, body: str = "html") -> DataFrame:

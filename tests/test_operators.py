@@ -102,6 +102,15 @@ def test_jsonld_shapes(spark):
     assert list(got[0].asDict())[:9] == list(LISTING_FIELDS)
 
 
+def test_jsonld_at_any_depth(spark):
+    deep = {"@type": "Event", "name": 'deep ]"['}
+    for k in range(12):
+        deep = [deep] if k % 2 else {"@graph": [deep, {"@type": "Event", "name": f"g{k}"}]}
+    html = f'<script type="application/ld+json">{json.dumps(deep)}</script><script type="application/ld+json">{{"@type": "Event", "name": "flat"}}</script>'
+    got = extract.jsonld(page(spark, html), "2024-01-15").orderBy("ordinal").collect()
+    assert [r.title for r in got] == ['deep ]"[', "g0", "g2", "g4", "g6", "g8", "g10", "flat"]
+
+
 def test_heuristic_keeps_the_outermost(spark):
     html = '<div class="event-list-x"><div class="views-row"><h2>Night of songs</h2><span class="event-price">12,50 €</span><a href="/e/1">go</a></div></div>'
     got = extract.heuristic(page(spark, html), "2024-01-15").collect()
