@@ -24,7 +24,7 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.without_repeated_runs(documents(spark, sf_dir), added=True).select("doc_id", "text", "n_lines", "n_deleted")
+    return lines.deduplicated(documents(spark, sf_dir).select("doc_id", "text"), added=True).select("doc_id", "text", "n_lines", "n_deleted", "words_deleted")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,9 +79,20 @@ k AS (SELECT doc_id, pos, m, CASE m WHEN 1 THEN [line] WHEN 2 THEN [line, l1] EL
 f AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, pos) AS nth FROM k),
 x AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + m)) AS pos FROM f WHERE nth > 1),
 r AS (SELECT c.doc_id, string_agg(line, chr(10) ORDER BY c.pos) FILTER (x.pos IS NULL) AS text, count(*)::INTEGER AS n_lines, count(x.pos)::INTEGER AS n_deleted
-      FROM c LEFT JOIN x ON c.doc_id = x.doc_id AND c.pos = x.pos GROUP BY c.doc_id)
-SELECT doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(r.text, '') END AS text, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted
-FROM d LEFT JOIN r USING (doc_id)""",
+      FROM c LEFT JOIN x ON c.doc_id = x.doc_id AND c.pos = x.pos GROUP BY c.doc_id),
+a AS (SELECT doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(r.text, '') END AS text, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted FROM d LEFT JOIN r USING (doc_id)),
+p AS (SELECT doc_id, text, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+') AS ps FROM a WHERE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) >= 50),
+q AS (SELECT doc_id, len(ps) AS size, generate_subscripts(ps, 1) - 1 AS pos, unnest(ps) AS piece FROM p),
+w AS MATERIALIZED (SELECT doc_id, size, pos, regexp_extract(piece, '[^\x20\x09-\x0D]+') AS word, regexp_extract(piece, '^[\x20\x09-\x0D]*') AS gap FROM q),
+-- a word goes if it is in a passage of 50 words that occurs at an earlier place
+v AS (SELECT doc_id, pos, size, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) AS body FROM w),
+vf AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY body ORDER BY doc_id, pos) AS nth FROM v WHERE pos <= size - 50),
+fd AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS pos FROM vf WHERE nth > 1),
+-- the pieces that stay: a run takes the white space before it along, but for a line break that the white space after it lacks
+k1 AS (SELECT w.*, fd.pos IS NOT NULL AS gone, coalesce(lag(fd.pos IS NOT NULL) OVER (PARTITION BY w.doc_id ORDER BY w.pos), FALSE) AS after FROM w LEFT JOIN fd ON w.doc_id = fd.doc_id AND w.pos = fd.pos WHERE w.doc_id IN (SELECT doc_id FROM fd)),
+k2 AS (SELECT *, last_value(CASE WHEN gone AND NOT after THEN pos END IGNORE NULLS) OVER h AS run_at, last_value(CASE WHEN gone AND NOT after THEN gap END IGNORE NULLS) OVER h AS run_gap FROM k1 WINDOW h AS (PARTITION BY doc_id ORDER BY pos)),
+k3 AS (SELECT doc_id, count(*) FILTER (gone) AS n, string_agg(CASE WHEN NOT after THEN gap WHEN run_at = 0 THEN '' WHEN contains(run_gap, chr(10)) AND NOT contains(gap, chr(10)) THEN run_gap ELSE gap END || word, '' ORDER BY pos) FILTER (NOT gone) AS body FROM k2 GROUP BY doc_id)
+SELECT a.doc_id, CASE WHEN k3.doc_id IS NULL THEN a.text ELSE coalesce(body, '') || regexp_extract(a.text, '[\x20\x09-\x0D]*$') END AS text, n_lines, n_deleted, coalesce(k3.n, 0)::INTEGER AS words_deleted FROM a LEFT JOIN k3 ON a.doc_id = k3.doc_id""",
     "op5_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
 m AS (SELECT h, octet_length(encode(body)) AS n, max(page_id) AS top FROM p GROUP BY ALL),
