@@ -1,38 +1,27 @@
-"""Line deduplication by winnowing, in DataFrame operations only: runs of lines first, then passages that are no whole lines.
+"""Line deduplication by winnowing: runs of lines in DataFrame operations only, then passages that are no whole lines (:mod:`.passages`).
 
-Lines. Every start of a run has a window: the fewest next lines that hold ``min_words`` words, at most ``min_lines`` lines.
+Every start of a run has a window: the fewest next lines that hold ``min_words`` words, at most ``min_lines`` lines.
 So each run of that many lines or words contains a window, the same in all its copies. The least line hash of a window is its fingerprint,
 chosen by content alone and shared by overlapping windows. Fingerprints at one position only rule their windows out (min and max
 position, pre-aggregated). The remaining windows are joined by the hash of all their lines (128 bits) with the first position of that
-content; a window at a later position matches. Neighbouring matches make maximal runs, which are deleted.
+content; a window at a later position matches. Matches extend both ways over the neighbouring windows that match, into maximal runs, which are deleted.
+The first occurrence of a line is in no later window, so every text survives somewhere. No pairs of copies are made: each
+window meets only the first one, and hot lines are split by the adaptive joins, whose sides are tables.
 
-Passages. The least word of a window of ``WINDOW`` words is the place of a fingerprint, the ``GRAM`` words from there on; overlapping windows
-share it, so there is about one fingerprint in twelve words, and every passage of ``PASSAGE`` words holds one. Fingerprints are joined by
-their hash with their first position, and the two texts are compared word by word both ways. What goes on beyond the match with the first
-position is decided by content, see :func:`repeated_passages`; so a word is deleted if, and only if, it is in a passage that occurs at an earlier place.
-
-The first occurrence is at no later place, so every text survives somewhere. No pairs of copies are made: each place meets only the first one,
-and hot keys are split by the adaptive joins, whose sides are tables.
-
-"Later" is by (doc_id, hash of the text, position); a null doc_id comes first. Defined cases: a null text has no lines
+"Later" is by (doc_id, hash of the text, line); a null doc_id comes first. Defined cases: a null text has no lines
 and stays null; an empty text stays empty; rows that repeat doc_id and text are one document and change alike; a text that loses
 all lines becomes empty; texts of any length are read whole; an empty table gives an empty one. Other columns, whatever their names, are kept.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, discard, stored
+from .passages import doc_key, merged, repeated_passages
 
 MIN_LINES, MIN_WORDS = 3, 50
-#: Words of a passage, of a window whose least word is a fingerprint's place, and of a fingerprint; WINDOW is a power of 2. A passage holds a
-#: window and the fingerprint at its place: WINDOW + GRAM - 1 = PASSAGE.
-PASSAGE, WINDOW, GRAM = 50, 32, 19
-#: Bits for a word's place beside the 32 of its CRC.
-PLACE_BITS = 30
-
 
 def _lines(text: str = "text") -> Column:
     return F.split(text, "\n")
@@ -65,14 +54,6 @@ def windows(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WO
     return rows.select("doc_id", "text_hash", "pos", "m", least.alias("mark"), over(lambda x: F.xxhash64(*(y["h1"] for y in x))).alias("w1"), over(lambda x: F.xxhash64(F.lit(7), *(y["h2"] for y in x))).alias("w2"), over(lambda x: F.greatest(*(F.when(y["h1"] == least, F.lit(i)) for i, y in enumerate(x)), F.lit(-1))).alias("mark_at"))
 
 
-def _merged(spans: DataFrame, key: list[str], name: str) -> DataFrame:
-    """The spans [pos, to) of each document as maximal runs [start, end)."""
-    by = Window.partitionBy(*key).orderBy("pos", "to")
-    reach = F.max("to").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    run = F.sum(F.when(F.col("pos") <= reach, 0).otherwise(1)).over(by.rowsBetween(Window.unboundedPreceding, 0))
-    return stored(spans.withColumn("run", run).groupBy(*key, "run").agg(F.min("pos").alias("start"), F.max("to").alias("end")).drop("run"), name)
-
-
 def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_hash, start, end): the maximal runs of lines [start, end) that repeat earlier text."""
     every = stored(windows(docs, min_lines, min_words), "lines-windows")
@@ -83,7 +64,7 @@ def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
     here = F.struct("doc_id", "text_hash", "pos")
     first = stored(some.groupBy("w1", "w2", "m").agg(F.min(here).alias("first"), F.max(here).alias("last")).where("first <> last").drop("last"), "lines-first")
     later = some.join(first.hint("merge"), ["w1", "w2", "m"]).where(here > F.col("first")).select("doc_id", "text_hash", "pos", (F.col("pos") + F.col("m")).alias("to")).distinct()
-    runs = _merged(later, ["doc_id", "text_hash"], "lines-runs")
+    runs = merged(later, ["doc_id", "text_hash"], "lines-runs")
     discard(every, marks, some, first)
     return runs
 
@@ -109,117 +90,12 @@ def without_repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words
     return rows.select(*out)
 
 
-def _id(c: str = "doc_id") -> Column:
-    """The key of a document: a null id counts as the smallest, so that joins are plain ones."""
-    return F.coalesce(F.col(c).cast("long"), F.lit(-(2**63)).cast("long"))
-
-
-def _words(text: str = "text") -> Column:
-    return F.split(F.btrim(text, F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")
-
-
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(id, hash, pos, g1, g2): of the first window of WINDOW words of each passage the place of its least word (by CRC-32, the first of equals), and the
-    hashes of the GRAM words from there on. A place that is the least of several windows is one row."""
-    rows = docs.select(_id().alias("id"), F.xxhash64("text").alias("hash"), _words().alias("x")).where(F.size("x") >= PASSAGE)
-    # hash and place in one number, so that the least brings its place along
-    rows = rows.withColumn("least", F.transform("x", lambda w, i: F.shiftleft(F.crc32(w.cast("binary")), PLACE_BITS) + i))
-    n = 1
-    while n < WINDOW:
-        rows = rows.withColumn("least", F.zip_with("least", F.slice("least", F.lit(n + 1), F.size("least")), lambda a, b: F.least(a, b)))
-        n *= 2
-    chosen = F.array_distinct(F.slice("least", F.lit(1), F.size("x") - (PASSAGE - 1)))
-    place = lambda p: p.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
-    gram = lambda p: F.slice("x", place(p) + 1, GRAM)
-    marks = F.transform(chosen, lambda p: F.struct(place(p).alias("pos"), F.xxhash64(gram(p)).alias("g1"), F.xxhash64(F.lit(7), gram(p)).alias("g2")))
-    # outer: the filter that an inner one infers would compute the array twice
-    return rows.select("id", "hash", F.inline_outer(marks))
-
-
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """(id, hash, start, end): the maximal runs of words [start, end) that lie in passages of PASSAGE words which occur at an earlier place.
-
-    The places of a fingerprint meet its first place, and both texts are compared word by word to either side. Where a text goes on in another way
-    than that of the first place, its passages that go so far can occur only in texts that go on in the same way: the fingerprint with the words up to
-    there is longer, and where places share the longer one, the passages around it meet by their content."""
-    every = stored(fingerprints(docs), "passages-marks")
-    pairs = _with_first(every, ["g1", "g2"], "pos")
-    pairs = stored(pairs.groupBy("id", "hash", "of_id", "of_hash").agg(F.collect_set("at").alias("at")), "passages-pairs")
-    met = pairs.select("id", "hash").unionByName(pairs.select(F.col("of_id").alias("id"), F.col("of_hash").alias("hash"))).distinct()
-    texts = docs.select(_id().alias("id"), F.xxhash64("text").alias("hash"), "text").join(met.hint("merge"), ["id", "hash"], "left_semi")
-    texts = texts.groupBy("id", "hash").agg(F.first("text").alias("text")).select("id", "hash", F.transform(_words(), lambda w: F.xxhash64(w)).alias("x"))
-    texts = stored(texts, "passages-texts")
-    compared = stored(_compared(pairs, texts), "passages-spans")
-    discard(every, pairs)
-    # the passages around the longer fingerprints that places share
-    key, place = ["g1", "g2", "left", "right"], F.struct("id", "hash", "pos")
-    longer = compared.select("id", "hash", F.explode("open").alias("o")).select("id", "hash", "o.*")
-    shared = stored(longer.groupBy(*key).agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select(*key), "passages-longer")
-    starts = longer.join(shared.hint("merge"), key, "left_semi").select("id", "hash", F.struct(F.greatest(F.lit(0), F.col("pos") + GRAM + F.col("right") - PASSAGE).alias("pos"), (F.col("pos") - F.col("left") + 1).alias("to")).alias("at"))
-    starts = _chained(starts.groupBy("id", "hash").agg(F.array_sort(F.collect_set("at")).alias("spans")))
-    body = lambda p: F.slice("x", p + 1, PASSAGE)
-    whole = F.filter(F.sequence("pos", F.col("to") - 1), lambda p: p + PASSAGE <= F.size("x"))
-    whole = F.transform(whole, lambda p: F.struct(p.alias("pos"), F.xxhash64(body(p)).alias("g1"), F.xxhash64(F.lit(7), body(p)).alias("g2")))
-    bodies = stored(starts.join(texts.hint("merge"), ["id", "hash"]).select("id", "hash", F.inline_outer(whole)).where("pos is not null"), "passages-bodies")
-    again = _with_first(bodies, ["g1", "g2"], "pos").select("id", "hash", F.struct("at.pos", (F.col("at.pos") + PASSAGE).alias("to")).alias("at"))
-    again = again.groupBy("id", "hash").agg(F.array_sort(F.collect_set("at")).alias("spans"))
-    runs = _merged(_chained(compared).unionByName(_chained(again)), ["id", "hash"], "passages-runs")
-    discard(texts, compared, shared, bodies)
-    return runs
-
-
-def _with_first(rows: DataFrame, key: list[str], pos: str) -> DataFrame:
-    """(id, hash, of_id, of_hash, at): the rows whose ``key`` occurs at an earlier place, with the first one."""
-    place = F.struct("id", "hash", pos)
-    first = rows.groupBy(*key).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    first = stored(first.select(*key, "first"), "passages-first")  # a table: so the planner can split the join at a hot key
-    later = rows.join(first.hint("merge"), key).where(place > F.col("first"))
-    return later.select("id", "hash", F.col("first.id").alias("of_id"), F.col("first.hash").alias("of_hash"), F.struct(F.col(pos).alias("pos"), F.col(f"first.{pos}").alias("of_pos")).alias("at"))
-
-
-def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id, hash, spans, open) of each pair of texts: the spans of words [pos, to) around their fingerprints that are equal and hold a passage, and
-    the fingerprints, longer by ``left`` or ``right`` words, of the passages that go on beyond them."""
-    both = pairs.join(texts.hint("merge"), ["id", "hash"]).join(texts.select(F.col("id").alias("of_id"), F.col("hash").alias("of_hash"), F.col("x").alias("y")).hint("merge"), ["of_id", "of_hash"])
-    reach = WINDOW - 1  # so far a passage can go on before its fingerprint, and after it
-
-    def alike(a: Column, b: Column) -> Column:
-        """How many words are equal before the first that differ."""
-        return (F.array_position(F.concat(F.zip_with(a, b, lambda u, v: F.coalesce(u == v, F.lit(False))), F.array(F.lit(False))), F.lit(False)) - 1).cast("int")
-
-    before = lambda x, p: F.reverse(F.slice(x, F.greatest(p - reach, F.lit(0)) + 1, F.least(p, F.lit(reach))))
-    after = lambda x, p: F.slice(x, p + GRAM + 1, reach)
-
-    def span(m: Column) -> Column:
-        p, q = m["pos"], m["of_pos"]
-        return F.struct(p.alias("at"), alike(before("x", p), before("y", q)).alias("l"), alike(after("x", p), after("y", q)).alias("r"))
-
-    def longer(s: Column, left: Column, right: Column) -> Column:
-        words = F.slice("x", s["at"] - left + 1, left + GRAM + right)
-        return F.struct(s["at"].alias("pos"), F.xxhash64(words).alias("g1"), F.xxhash64(F.lit(7), words).alias("g2"), left.alias("left"), right.alias("right"))
-
-    both = both.select("id", "hash", "x", F.transform("at", span).alias("met"))
-    spans = F.transform(F.filter("met", lambda s: s["l"] + GRAM + s["r"] >= PASSAGE), lambda s: F.struct((s["at"] - s["l"]).alias("pos"), (s["at"] + GRAM + s["r"]).alias("to")))
-    on_right = F.filter("met", lambda s: (GRAM + s["r"] < PASSAGE) & (s["at"] + GRAM + s["r"] < F.size("x")))
-    on_left = F.filter("met", lambda s: (GRAM + s["l"] < PASSAGE) & (s["at"] > s["l"]))
-    beyond = F.concat(F.transform(on_right, lambda s: longer(s, F.lit(0), s["r"] + 1)), F.transform(on_left, lambda s: longer(s, s["l"] + 1, F.lit(0))))
-    return both.select("id", "hash", F.array_sort(spans).alias("spans"), F.array_distinct(beyond).alias("open"))
-
-
-def _chained(spans: DataFrame) -> DataFrame:
-    """(id, hash, pos, to): the sorted ``spans`` of a row, those that meet the one before as one with it."""
-    heads = F.filter(F.transform("spans", lambda r, i: F.when((i == 0) | (r["pos"] > F.get("spans", i - 1)["to"]), i)), lambda i: i.isNotNull())
-    spans = spans.select("id", "hash", "spans", heads.alias("heads"))
-    chains = F.transform("heads", lambda h, k: F.struct(F.get("spans", h)["pos"].alias("pos"), F.array_max(F.transform(F.slice("spans", h + 1, F.coalesce(F.get("heads", k + 1), F.size("spans")) - h), lambda r: r["to"])).alias("to")))
-    return spans.select("id", "hash", F.inline_outer(chains)).where("pos is not null")
-
-
 def without_repeated_passages(docs: DataFrame, added: bool = False) -> DataFrame:
     """The documents without the later copies of passages of PASSAGE words, wherever in a line they stand. A deleted run takes the white space
     before it along; where only that has a line break, it stays in place of the white space after the run. ``added``: also words_deleted, in place of a column of that name."""
     runs = repeated_passages(docs)
     runs = runs.groupBy("id", "hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__runs")).select(F.col("id").alias("__line_id"), F.col("hash").alias("__line_hash"), "__runs")
-    rows = docs.withColumns({"__id": _id(), "__hash": F.xxhash64("text")})
+    rows = docs.withColumns({"__id": doc_key(), "__hash": F.xxhash64("text")})
     rows = rows.join(runs.hint("merge"), (F.col("__id") == F.col("__line_id")) & (F.col("__hash") == F.col("__line_hash")), "left")
     white = r"[\x20\x09-\x0D]"
     rows = rows.withColumn("__words", F.when(F.col("__runs").isNotNull(), F.regexp_extract_all("text", F.lit(f"{white}*{WORD}"), F.lit(0))))

@@ -1,0 +1,215 @@
+"""Repeated passages by winnowing over words, wherever in a line they stand.
+
+A fingerprint is the hash of ``GRAM`` words; of each window of ``WINDOW`` neighbouring ones the least is chosen, by content alone, so overlapping
+windows share it and every passage of ``PASSAGE`` words holds a chosen one: WINDOW + GRAM - 1 = PASSAGE. Fingerprints are joined by hash with
+their first position, and the two texts are compared word by word both ways. Where a text goes on in another way than that of the first position, its
+passages that go so far can occur only in texts that go on in the same way: the fingerprint with the words up to there is longer, and where
+positions share the longer one, the passages around it meet by their content. So a word is in a run if, and only if, it is in a passage
+that occurs at an earlier place; no place meets more than the first one of a key, and hot keys are split by the adaptive joins, whose sides are tables.
+
+Words are hashed in Arrow batches, joins and aggregates are DataFrames. Words are compared by 64 bits, passages by 128.
+"Earlier" is by (doc_id, hash of the text, position); a null doc_id counts as the smallest. Null texts and those of fewer than
+PASSAGE words have no passages; rows that repeat doc_id and text are one document.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from .common import discard, mix, pieces, stored, text_bytes, words
+
+PASSAGE, WINDOW, GRAM = 50, 39, 12
+#: Words that are winnowed at a time, pairs of positions that are compared at a time.
+CHUNK, PAIRS = 1 << 18, 1 << 12
+_ODD = np.random.default_rng(31337).integers(0, 2**63, 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BACK = np.array([pow(int(b), -1, 2**64) for b in _ODD], np.uint64)
+
+
+def doc_key(c: str = "doc_id") -> Column:
+    """A document's id for plain joins: a null counts as the smallest."""
+    return F.coalesce(F.col(c).cast("long"), F.lit(-(2**63)).cast("long"))
+
+
+def _slid(values: np.ndarray, width: int, f) -> np.ndarray:
+    """f over every ``width`` neighbours, by doubling."""
+    n = 1
+    while 2 * n <= width:
+        values = f(values[:-n], values[n:])
+        n *= 2
+    return f(values[: len(values) - (width - n)], values[width - n :]) if width > n else values
+
+
+def _grams(h: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(_slid_sum(h, GRAM))
+
+
+def _slid_sum(h: np.ndarray, width: int) -> np.ndarray:
+    """Polynomials of every ``width`` neighbours."""
+    out = np.zeros(max(0, len(h) - width + 1), np.uint64)
+    for k in range(width):
+        out = out * _ODD[0] + h[k : k + len(out)]
+    return out
+
+
+def chosen(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions among the words ``h`` of texts with the offsets ``at`` whose fingerprint is the least of a window, and their fingerprints."""
+    spots, marks = [], []
+    last = np.repeat(at[1:], np.diff(at)) - PASSAGE  # the last start of a passage in a word's text
+    for a in range(0, len(h), CHUNK):
+        low, high = max(0, a - WINDOW + 1), min(len(h), a + CHUNK)
+        g = _grams(h[low : high + WINDOW + GRAM - 2])
+        if len(g) < WINDOW:
+            continue
+        least = _slid(g, WINDOW, np.minimum)
+        starts = np.arange(low, low + len(least))
+        least[starts > last[starts]] = 0
+        # a position is chosen if its own value is the least of one of the windows that hold it
+        most = _slid(np.concatenate([np.zeros(WINDOW - 1, np.uint64), least, np.zeros(WINDOW - 1, np.uint64)]), WINDOW, np.maximum)
+        here = np.flatnonzero((most == g[: len(most)]) & (most > 0))
+        here = here[(here + low >= a) & (here + low < high)]
+        spots.append(here + low)
+        marks.append(g[here])
+    return (np.concatenate(spots), np.concatenate(marks)) if spots else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+
+
+def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in pieces(batch, "text"):
+            _, _, h, at = words(*text_bytes(part.column("text")))
+            spots, marks = chosen(h, at)
+            owner = np.searchsorted(at, spots, "right") - 1
+            take = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([part.column("id").take(take), part.column("hash").take(take), pa.array((spots - at[owner]).astype(np.int32)), pa.array(marks.view(np.int64))], names=["id", "hash", "pos", "g"])
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in pieces(batch, "text"):
+            _, _, h, at = words(*text_bytes(part.column("text")))
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("hash"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h.view(np.int64)))], names=["id", "hash", "x"])
+
+
+class Bodies:
+    """Hashes of spans of a text's words, from prefix sums."""
+
+    def __init__(self, x: np.ndarray, lanes: int = 1):
+        self.sums, self.back = [], []
+        with np.errstate(over="ignore"):
+            for k in range(lanes):
+                power, back = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(x), b, np.uint64)])) for b in (_ODD[k], _BACK[k]))
+                self.sums.append(np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * power[:-1])]))
+                self.back.append(back)
+
+    def of(self, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix((self.sums[lane][end] - self.sums[lane][start]) * self.back[lane][start]).view(np.int64)
+
+
+def _list(column: pa.Array, k: int) -> np.ndarray:
+    return column[k].values.to_numpy(zero_copy_only=False)
+
+
+_COMPARED = pa.schema([("id", pa.int64()), ("hash", pa.int64()), ("pos", pa.int32()), ("to", pa.int32()), ("left", pa.int32()), ("right", pa.int32()), ("g", pa.int64())])
+
+
+def _alike(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """How many words are equal, step by step from p and q, before the first that differ."""
+    i, j = p[:, None] + step, q[:, None] + step
+    inside = (i >= 0) & (j >= 0) & (i < len(x)) & (j < len(y))
+    same = inside & (x[np.where(inside, i, 0)] == y[np.where(inside, j, 0)])
+    return np.where(same.all(1), len(step), same.argmin(1))
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each pair of texts the runs [pos, to) of equal words around their shared fingerprints, and the longer fingerprints (``g``) of what goes on beyond."""
+    reach = WINDOW - 1
+    for batch in batches:
+        cols = {n: batch.column(n) for n in ("x", "y", "pos", "of_pos")}
+        for k in range(batch.num_rows):
+            x, y, pos, of = (_list(cols[n], k) for n in ("x", "y", "pos", "of_pos"))
+            body, rows = Bodies(x.view(np.uint64)), []
+            for a in range(0, len(pos), PAIRS):
+                p, q = pos[a : a + PAIRS].astype(np.int64), of[a : a + PAIRS].astype(np.int64)
+                same = _alike(x, y, p, q, np.arange(GRAM)) == GRAM
+                other = p[~same]  # another text of the same hash
+                p, q = p[same], q[same]
+                left, right = _alike(x, y, p - 1, q - 1, -np.arange(reach)), _alike(x, y, p + GRAM, q + GRAM, np.arange(reach))
+                long = left + GRAM + right >= PASSAGE
+                start, to = (p - left)[long], (p + GRAM + right)[long]
+                order = np.argsort(start, kind="stable")
+                start, to = start[order], np.maximum.accumulate(to[order]) if len(order) else to
+                head = np.flatnonzero(np.concatenate([[True], start[1:] > to[:-1]])) if len(start) else np.zeros(0, np.int64)
+                none = np.full(len(head), -1)
+                rows.append((start[head], to[np.append(head[1:], len(start)) - 1] if len(head) else to, none, none, none))
+                r, l_ = (right < reach) & (p + GRAM + right < len(x)), (left < reach) & (p > left)
+                at = np.concatenate([p[r], p[l_], other])
+                far = np.concatenate([np.zeros(r.sum(), np.int64), left[l_] + 1, np.zeros(len(other), np.int64)])
+                on = np.concatenate([right[r] + 1, np.zeros(l_.sum(), np.int64), np.zeros(len(other), np.int64)])
+                rows.append((at, np.full(len(at), -1), far, on, body.of(at - far, at + GRAM + on)))
+            pos, to, left, right, g = (np.concatenate(c) for c in zip(*rows, strict=True))
+            n, open_ = len(pos), to < 0
+            ids = [pa.array(np.full(n, batch.column(c)[k].as_py(), np.int64)) for c in ("id", "hash")]
+            short = [pa.array(c.astype(np.int32), mask=m) for c, m in ((pos, None), (to, open_), (left, ~open_), (right, ~open_))]
+            yield pa.RecordBatch.from_arrays([*ids, *short, pa.array(g.astype(np.int64), mask=~open_)], schema=_COMPARED)
+
+
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The passages that start in [pos, to), by content."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            x, spans = _list(batch.column("x"), k).view(np.uint64), batch.column("spans")[k].values
+            ranges = [np.arange(a, min(b, len(x) - PASSAGE + 1)) for a, b in zip(spans.field("pos").to_pylist(), spans.field("to").to_pylist(), strict=True)]
+            body, start = Bodies(x, 2), np.unique(np.concatenate(ranges))
+            ids = [pa.array(np.full(len(start), batch.column(c)[k].as_py(), np.int64)) for c in ("id", "hash")]
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(start.astype(np.int32)), *(pa.array(body.of(start, start + PASSAGE, lane)) for lane in (0, 1))], names=["id", "hash", "pos", "g", "g2"])
+
+
+def _with_first(rows: DataFrame, key: list[str]) -> DataFrame:
+    """(id, hash, pos, of_id, of_hash, of_pos): the rows whose ``key`` occurs at an earlier place, with the first one."""
+    place = F.struct("id", "hash", "pos")
+    first = rows.groupBy(*key).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    first = stored(first.select(*key, "first"), "passages-first")  # a table: so the planner can split the join at a hot key
+    later = rows.join(first.hint("merge"), key).where(place > F.col("first"))
+    return later.select("id", "hash", "pos", *(F.col(f"first.{c}").alias(f"of_{c}") for c in ("id", "hash", "pos")))
+
+
+def merged(spans: DataFrame, key: list[str], name: str) -> DataFrame:
+    """The spans [pos, to) of each document as maximal runs [start, end)."""
+    by = Window.partitionBy(*key).orderBy("pos", "to")
+    reach = F.max("to").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    run = F.sum(F.when(F.col("pos") <= reach, 0).otherwise(1)).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    return stored(spans.withColumn("run", run).groupBy(*key, "run").agg(F.min("pos").alias("start"), F.max("to").alias("end")).drop("run"), name)
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """(id, hash, start, end): the maximal runs of words [start, end) that lie in passages of PASSAGE words which occur at an earlier place."""
+    texts = docs.where("text is not null").select(doc_key().alias("id"), F.xxhash64("text").alias("hash"), "text")
+    marks = stored(texts.mapInArrow(_fingerprints, "id long, hash long, pos int, g long"), "passages-marks")
+    pair = F.collect_set(F.struct("pos", "of_pos"))
+    pairs = _with_first(marks, ["g"]).groupBy("id", "hash", "of_id", "of_hash").agg(pair.alias("at"))
+    pairs = stored(pairs.select("id", "hash", "of_id", "of_hash", F.col("at.pos").alias("pos"), F.col("at.of_pos").alias("of_pos")), "passages-pairs")
+    met = pairs.select("id", "hash").unionByName(pairs.select(F.col("of_id").alias("id"), F.col("of_hash").alias("hash"))).distinct()
+    once = texts.join(met.hint("merge"), ["id", "hash"], "left_semi").groupBy("id", "hash").agg(F.first("text").alias("text"))
+    hashed = stored(once.mapInArrow(_hashed, "id long, hash long, x array<long>"), "passages-texts")
+    there = hashed.select(F.col("id").alias("of_id"), F.col("hash").alias("of_hash"), F.col("x").alias("y"))
+    both = pairs.join(hashed.hint("merge"), ["id", "hash"]).join(there.hint("merge"), ["of_id", "of_hash"])
+    compared = stored(both.select("id", "hash", "pos", "of_pos", "x", "y").mapInArrow(_compare, "id long, hash long, pos int, to int, left int, right int, g long"), "passages-compared")
+    discard(marks, pairs)
+    # the passages around longer fingerprints that positions share
+    key, place = ["g", "left", "right"], F.struct("id", "hash", "pos")
+    longer = compared.where("g is not null").drop("to")
+    shared = stored(longer.groupBy(*key).agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select(*key), "passages-longer")
+    starts = longer.join(shared.hint("merge"), key, "left_semi").select("id", "hash", F.greatest(F.lit(0), F.col("pos") + GRAM + F.col("right") - PASSAGE).alias("pos"), (F.col("pos") - F.col("left") + 1).alias("to"))
+    starts = merged(starts.distinct(), ["id", "hash"], "passages-starts")
+    ranges = starts.groupBy("id", "hash").agg(F.collect_list(F.struct(F.col("start").alias("pos"), F.col("end").alias("to"))).alias("spans"))
+    bodies = stored(ranges.join(hashed.hint("merge"), ["id", "hash"]).select("id", "hash", "spans", "x").mapInArrow(_bodies, "id long, hash long, pos int, g long, g2 long"), "passages-bodies")
+    again = _with_first(bodies, ["g", "g2"]).select("id", "hash", "pos", (F.col("pos") + PASSAGE).alias("to"))
+    runs = merged(compared.where("g is null").select("id", "hash", "pos", "to").unionByName(again), ["id", "hash"], "passages-runs")
+    discard(hashed, compared, shared, starts, bodies)
+    return runs

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from handbill.llm import lines
+from handbill.llm import lines, passages
 
 
 def brute(rows, min_lines, min_words):
@@ -60,7 +60,7 @@ def test_native_plan(docs_of):
 
 def brute_passages(rows):
     """The definition: a word goes if it is in a window of PASSAGE words that occurs at an earlier place."""
-    n, seen, out = lines.PASSAGE, set(), {}
+    n, seen, out = passages.PASSAGE, set(), {}
     for i, t in sorted(rows):
         ws, gone = t.split(), set()
         for p in range(len(ws) - n + 1):
@@ -103,5 +103,4 @@ def test_passages_go_in_the_pipeline(spark, docs_of):
     passage = " ".join(f"word{k}" for k in range(55))
     got = {r.doc_id: r.text for r in p.line_dedup(spark, docs_of((1, f"glued to {passage} more"), (2, f"in a longer {passage} line")), "").collect()}
     assert got == {1: f"glued to {passage} more", 2: "in a longer line"}
-    plan = lines.without_repeated_passages(docs_of((1, "a\nb"), (2, "a\nb")))._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+    assert "Python" not in (plan := lines.windows(docs_of((1, "a\nb"), (2, "a\nb")))._jdf.queryExecution().toString()) and "Arrow" not in plan
