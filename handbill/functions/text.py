@@ -61,11 +61,17 @@ def absolute_url(href: Column | str, base: Column | str) -> Column:
     root = F.regexp_extract(b, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", 0)
     page = F.regexp_extract(b, r"^[^?#]*", 0)
     folder = F.when(page == root, F.concat(root, F.lit("/"))).otherwise(F.regexp_replace(page, r"[^/]*$", ""))
-    # a step up removes a folder; repeated for as many as a path of usual depth has
-    joined = F.concat(folder, h)
-    for _ in range(4):
-        joined = F.regexp_replace(joined, r"(://[^/]+(?:/[^/]+)*?)/(?!\.\./)[^/]+/\.\./", "$1/")
-    joined = F.regexp_replace(F.regexp_replace(joined, r"(://[^/]+)/(?:\.\./)+", "$1/"), r"(?<=/)\./", "")
+    # the parts of the path in order: a step up takes the last one away, at the root it does nothing; what follows ? or # is no path
+    tail = F.regexp_extract(h, r"(?s)[?#].*$", 0)
+    steps = F.split(F.concat(F.substr(folder, F.length(root) + 2), F.regexp_replace(h, r"(?s)[?#].*$", "")), "/")
+    last = F.element_at(steps, -1)
+    kept = F.aggregate(
+        F.slice(steps, F.lit(1), F.size(steps) - 1), F.array().cast("array<string>"),
+        lambda have, x: F.when(x == ".", have).when(x == "..", F.slice(have, F.lit(1), F.greatest(F.size(have) - 1, F.lit(0)))).otherwise(F.array_append(have, x)),
+    )
+    up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+    parts = F.when(last == "..", F.array_append(up, F.lit(""))).when(last == ".", F.array_append(kept, F.lit(""))).otherwise(F.array_append(kept, last))
+    joined = F.concat(root, F.lit("/"), F.array_join(parts, "/"), tail)
     return (
         F.when(h == "", b)
         .when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), h)

@@ -31,7 +31,7 @@ def title_from_slug(url: Column | str) -> Column:
     path = F.rtrim(F.substring_index(filled(url), "?", 1), F.lit("/"))
     part = F.substring_index(path, "/", -1)
     words = F.filter(F.split(F.regexp_replace(part, r"-\d+$", ""), "-"), lambda w: w != "")
-    named = F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.lower(F.substring(w, 2, 1000000)))), " ")
+    named = F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.lower(F.substr(w, F.lit(2))))), " ")
     return F.when(F.contains(part, F.lit("-")) & (F.size(words) > 0), named)
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.text import col, filled, quoted
-from ..functions.titles import any_of
 
 #: The scorer's categories in the order of display, and what is near.
 SCORER = {
@@ -81,13 +80,18 @@ def is_near(text: Column, venue: Column, profile: Profile) -> Column:
 def categorize(text: Column | list[Column], categories: dict[str, list[str]], mode: Literal["word", "substring"] = "substring", default: str = "unknown") -> Column:
     """The first category with a keyword in the text (in any of several)."""
     texts = text if isinstance(text, list) else [text]
-    out = F.lit(default)
-    for name, words in reversed(categories.items()):
-        hit = F.lit(False)
-        for t in texts:
-            hit = hit | (t.rlike(word_start(words)) if mode == "word" else any_of(F.lower(t), [w.lower() for w in words]))
-        out = F.when(hit, name).otherwise(out)
-    return out
+
+    def first(t: Column) -> Column:
+        """The texts are joined by a mark that no keyword holds, and read once for each category."""
+        out = F.lit(default)
+        for name, words in reversed(categories.items()):
+            pattern = word_start(words) if mode == "word" else "|".join(quoted(w.lower()) for w in words)
+            out = F.when(t.rlike(pattern), name).otherwise(out)
+        return out
+
+    whole = F.concat_ws("\x00", *texts) if len(texts) > 1 else texts[0]
+    # one element, so that the text is made and lowered once and not for each category
+    return F.get(F.transform(F.array(whole if mode == "word" else F.lower(whole)), first), 0)
 
 
 def store_category(title: Column | str = "title", description: Column | str = "description") -> Column:

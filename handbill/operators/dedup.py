@@ -42,12 +42,16 @@ def first_titles(df: DataFrame, by: list[str], most: int, order: str = "ordinal"
 
 def is_recursive(batch: DataFrame, store: DataFrame | None = None, order: str = "ordinal") -> DataFrame:
     """Adds is_recursive: the title and source are in the store, or come earlier in the batch."""
-    again = F.row_number().over(Window.partitionBy("title", "source_url").orderBy(order)) > 1
+    # an aggregate and a join, so that a title that holds most rows is no task of its own
+    firsts = batch.groupBy(F.col("title").alias("__bt"), F.col("source_url").alias("__bs")).agg(F.min(order).alias("__first"))
+    batch = batch.join(firsts, F.col("title").eqNullSafe(F.col("__bt")) & F.col("source_url").eqNullSafe(F.col("__bs")))
+    again = F.coalesce(F.col(order) > F.col("__first"), F.lit(False))
+    extra = ["__bt", "__bs", "__first"]
     if store is None:
-        return batch.withColumn("is_recursive", again)
+        return batch.withColumn("is_recursive", again).drop(*extra)
     known = store.select(F.col("title").alias("__t"), F.col("source_url").alias("__s"), F.lit(True).alias("__known")).distinct()
     joined = batch.join(known, (F.col("title") == F.col("__t")) & (F.col("source_url") == F.col("__s")), "left")
-    return joined.withColumn("is_recursive", again | F.coalesce("__known", F.lit(False))).drop("__t", "__s", "__known")
+    return joined.withColumn("is_recursive", again | F.coalesce("__known", F.lit(False))).drop("__t", "__s", "__known", *extra)
 
 
 def lowest_tier(df: DataFrame, by: str = "source_url", tier: str = "tier") -> DataFrame:

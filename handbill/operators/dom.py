@@ -5,6 +5,7 @@ Python reads each page once, in Arrow batches; all parsing of prices, dates and
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -31,17 +32,14 @@ class Node:
             yield node
             todo.extend(x for x in reversed(node.children) if isinstance(x, Node))
 
-    def text(self, joint: str = " ", least: int | None = None) -> str:
-        """All text of the element; ``least``: as much of its start as has so many characters."""
-        out, todo, size = [], [self], 0
+    def text(self, joint: str = " ") -> str:
+        """All text of the element."""
+        out, todo = [], [self]
         while todo:
             node = todo.pop()
             if isinstance(node, str):
                 if part := node.strip():
                     out.append(part)
-                    size += len(part) + len(joint)
-                    if least is not None and size > least:
-                        break
             elif node.tag not in _HIDDEN:
                 todo.extend(reversed(node.children))
         return joint.join(out)
@@ -82,9 +80,11 @@ def read(html: str) -> Node:
 
 # --- elements whose class looks like a listing card ------------------------------------------------
 
-CARD_TYPE = "source_url string, pos int, card_id int, above array<int>, text string, scopes array<struct<heading:string,link:string,href:string>>, context array<string>"
+CARD_TYPE = "source_url string, pos int, card_id int, last int, text string, scopes array<struct<heading:string,link:string,href:string>>, context array<string>"
 _SCOPE = pa.struct([("heading", pa.string()), ("link", pa.string()), ("href", pa.string())])
-_CARD = pa.schema([("source_url", pa.string()), ("pos", pa.int32()), ("card_id", pa.int32()), ("above", pa.list_(pa.int32())), ("text", pa.string()), ("scopes", pa.list_(_SCOPE)), ("context", pa.list_(pa.string()))])
+_CARD = pa.schema([("source_url", pa.string()), ("pos", pa.int32()), ("card_id", pa.int32()), ("last", pa.int32()), ("text", pa.string()), ("scopes", pa.list_(_SCOPE)), ("context", pa.list_(pa.string()))])
+#: Characters that a card's text may have at most.
+MOST_CHARS = 3000
 
 
 def _absolute(base: str, href: str) -> str:
@@ -94,24 +94,62 @@ def _absolute(base: str, href: str) -> str:
         return href
 
 
-def _scope(node: Node, base: str) -> dict:
-    heading = next((x for x in node.walk() if x is not node and x.tag in ("h1", "h2", "h3", "h4", "h5")), None)
-    link = next((x for x in node.walk() if x is not node and x.tag == "a" and "href" in x.attrs), None)
-    return {"heading": heading.text("") if heading else None, "link": link.text("") if link else None, "href": _absolute(base, link.attrs["href"]) if link else None}
+class Page:
+    """The elements of a page in order, each with the last element and the range of texts below it, so that no subtree is walked twice."""
+
+    def __init__(self, root: Node):
+        self.nodes: list[Node] = []
+        self.parts: list[str] = []
+        self.last: dict[int, int] = {}
+        self.range: dict[int, tuple[int, int]] = {}
+        todo: list[tuple] = [(root, False, None)]
+        while todo:
+            item, hidden, start = todo.pop()
+            if isinstance(item, str):
+                if not hidden and (part := item.strip()):
+                    self.parts.append(part)
+            elif start is None:
+                self.nodes.append(item)
+                hidden = hidden or item.tag in _HIDDEN
+                todo.append((item, hidden, len(self.parts)))
+                todo.extend((x, hidden, None) for x in reversed(item.children))
+            else:
+                self.last[item.id], self.range[item.id] = self.nodes[-1].id, (start, len(self.parts))
+        self.headings = [x for x in self.nodes if x.tag in ("h1", "h2", "h3", "h4", "h5")]
+        self.links = [x for x in self.nodes if x.tag == "a" and "href" in x.attrs]
+
+    def text(self, node: Node, joint: str = " ", most: int | None = None) -> str:
+        """The element's text; ``most``: of a longer one as much as is longer than that."""
+        (a, b), size = self.range[node.id], 0
+        if most is not None:
+            for k in range(a, b):
+                size += len(self.parts[k]) + len(joint)
+                if size > most + len(joint):
+                    b = k + 1
+                    break
+        return joint.join(self.parts[a:b])
+
+    def first(self, found: list[Node], node: Node) -> Node | None:
+        """The first of the elements below a node."""
+        k = bisect_right(found, node.id, key=lambda x: x.id)
+        return found[k] if k < len(found) and found[k].id <= self.last[node.id] else None
+
+    def scope(self, node: Node, base: str) -> dict:
+        heading, link = self.first(self.headings, node), self.first(self.links, node)
+        return {"heading": self.text(heading, "") if heading else None, "link": self.text(link, "") if link else None, "href": _absolute(base, link.attrs["href"]) if link else None}
 
 
 def hinted(html: str, source_url: str | None) -> Iterator[dict]:
-    """Elements with a hint in their class: their text, the hinted elements above, what to look for a title and link in (itself, its parent,
-    its grandparent), and the starts of the texts of up to five elements above, outermost first."""
-    ids: set[int] = set()
-    for pos, node in enumerate(x for x in read(html).walk() if any(h in x.attrs.get("class", "").lower() for h in CARD_HINTS)):
-        ids.add(node.id)
+    """Elements with a hint in their class: their text (of one that is too long, the start), the last element below, what to look for a title and link
+    in (itself, its parent, its grandparent), and the starts of the texts of up to five elements above, outermost first."""
+    page = Page(read(html))
+    for pos, node in enumerate(x for x in page.nodes if any(h in x.attrs.get("class", "").lower() for h in CARD_HINTS)):
         lineage, up = [], node.parent
-        while up:
+        while up and len(lineage) < 5:
             lineage.append(up)
             up = up.parent
-        scopes = [_scope(x, source_url or "") for x in [node, *lineage[:2]]]
-        yield {"source_url": source_url, "pos": pos, "card_id": node.id, "above": [x.id for x in lineage if x.id in ids], "text": node.text(), "scopes": scopes, "context": [x.text(least=60)[:60] for x in reversed(lineage[:5])]}
+        scopes = [page.scope(x, source_url or "") for x in [node, *lineage[:2]]]
+        yield {"source_url": source_url, "pos": pos, "card_id": node.id, "last": page.last[node.id], "text": page.text(node, most=MOST_CHARS), "scopes": scopes, "context": [page.text(x, most=60)[:60] for x in reversed(lineage)]}
 
 
 def hinted_cards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ from ..functions.titles import is_bot_challenge, title_from_slug, title_looks_no
 from ..schema import LISTING_FIELDS
 from . import dom
 from .dedup import capped, first_titles, lowest_tier
-from .filters import MEETUP_WORDS, TICKET_WORDS, has_signal
+from .filters import MEETUP_WORDS, TICKET_WORDS, has_signal, length_between
 
 #: Caps of accepted rows by site, and lengths of texts.
 GENERIC_CAP, MEETUP_CAP, TICKET_CAP = 60, 50, 40
@@ -106,13 +106,13 @@ def jsonld(pages: DataFrame, as_of: str, body: str = "html") -> DataFrame:
 
 
 def heuristic(pages: DataFrame, as_of: str, body: str = "html") -> DataFrame:
-    """Elements whose class hints at a listing, of 15 to 3000 characters, with a price or date; the outermost of nested ones; of the first 60
+    """Elements whose class hints at a listing, of 15 to 3000 characters, with a price or date; of nested ones those that hold no other; of the first 60
     of a page the first of each title."""
     cards = pages.select("source_url", F.col(body).alias("html")).mapInArrow(dom.hinted_cards, dom.CARD_TYPE)
-    cards = cards.where(F.length("text").between(15, 3000) & has_signal("text"))
-    inner = cards.select("source_url", "card_id", F.explode("above").alias("up"))
-    nested = inner.join(cards.select(F.col("source_url").alias("__s"), F.col("card_id").alias("__c")), F.col("source_url").eqNullSafe(F.col("__s")) & (F.col("up") == F.col("__c"))).select(F.col("source_url").alias("__s"), F.col("card_id").alias("__c"))
-    rows = cards.join(nested, cards["source_url"].eqNullSafe(nested["__s"]) & (cards["card_id"] == nested["__c"]), "left_anti").withColumn("ordinal", F.col("pos"))
+    cards = cards.where(length_between("text", 15, dom.MOST_CHARS) & has_signal("text"))
+    # elements are numbered in the order of the page, so a card holds another one if the next card is not past its last element
+    after = F.lead("card_id").over(Window.partitionBy("source_url").orderBy("card_id"))
+    rows = cards.withColumn("after", after).where("after is null or after > last").withColumn("ordinal", F.col("pos"))
     clean = lambda x: ~x.rlike(EURO) & ~x.rlike(TIME)
     named = F.filter(F.transform("scopes", lambda s: F.coalesce(F.nullif(s["heading"], F.lit("")), F.when(clean(s["link"]), F.nullif(s["link"], F.lit(""))))), lambda t: t.isNotNull())
     href = F.try_element_at(F.filter(F.transform("scopes", lambda s: s["href"]), lambda h: h.isNotNull()), F.lit(1))

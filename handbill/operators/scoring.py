@@ -10,6 +10,7 @@ from ..functions.text import filled, nonempty
 from .categories import STOCK, Profile, content_categories, haystack, is_near
 from .dedup import first_wins
 from .filters import affordable
+from .storage import stored
 
 #: Fixed values.
 MOST_CATEGORIES, CATEGORY_POINTS, NEAR_POINTS, MOST_POINTS = 3, 15, 20, 100
@@ -27,9 +28,13 @@ def scored(df: DataFrame, profile: Profile = STOCK, fields: tuple[str, ...] = ("
     }).drop("__text", "__found", "__near")
 
 
+def rank_keys() -> list[Column]:
+    """What listings are ranked by, ascending: the score from the highest, then the price (unknown last), then the title; rows that tie keep their order."""
+    return [-F.col("score"), F.coalesce("price", F.lit(NO_PRICE_RANK)), F.lower(filled("title")), F.col("ordinal")]
+
+
 def rank_order() -> list[Column]:
-    """By score, then price (unknown last), then title; rows that tie keep their order."""
-    return [F.desc("score"), F.coalesce("price", F.lit(NO_PRICE_RANK)).asc(), F.lower(filled("title")).asc(), F.asc("ordinal")]
+    return [k.asc() for k in rank_keys()]
 
 
 def ranked(df: DataFrame) -> DataFrame:
@@ -39,10 +44,11 @@ def ranked(df: DataFrame) -> DataFrame:
 
 def numbered(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """Adds each row's place in a total order without bringing all rows to one task: rows are dealt by ranges of the
-    order, numbered within their range, and moved on by the sizes of the ranges before."""
+    order and written to the shared folder, each task's rows as sorted files of their own, so that a lost executor changes neither ranges nor
+    places; then they are numbered within their range and moved on by the sizes of the ranges before."""
     spark = df.sparkSession
     n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()).persist()
+    dealt = stored(df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()), "numbered")
     sizes = dict(sorted((r["__part"], r["n"]) for r in dealt.groupBy("__part").agg(F.count("*").alias("n")).collect()))  # a row per partition
     before, starts = 0, []
     for part, size in sizes.items():

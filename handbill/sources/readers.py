@@ -62,7 +62,7 @@ def read_pages(spark: SparkSession, path: str, pattern: str = "*.html", most_cha
 
 def first_page(pages: DataFrame) -> DataFrame:
     """The page of the smallest path."""
-    return pages.orderBy("path").limit(1)
+    return pages.agg(F.min_by(F.struct(*pages.columns), "path").alias("p")).where("p is not null").select("p.*")
 
 
 def failed_with_pages(scrapes: DataFrame, pages: DataFrame, most_sites: int = 12, most_chars: int = 12000) -> DataFrame:

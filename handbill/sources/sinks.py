@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.report import category_distribution, envelope
-from ..operators.scoring import rank_order
+from ..operators.scoring import rank_keys
 from ..schema import LISTING_FIELDS
 
 SCORED_FIELDS = (*LISTING_FIELDS, "price_label", "matched_categories", "score")
@@ -38,9 +38,7 @@ def scrape_document(df: DataFrame, source: str, scraped_at: str, site_name: str
 
 def scored_document(df: DataFrame) -> DataFrame:
     """One row: the count and the scored listings, the best first."""
-    order = [-F.col("score"), F.coalesce("price", F.lit(999.0)), F.lower(F.coalesce("title", F.lit(""))), F.col("ordinal")]
-    assert len(order) == len(rank_order())
-    return envelope(df, order, SCORED_FIELDS).select(F.to_json(F.struct("count", "events"), {"ignoreNullFields": "false"}).alias("value"))
+    return envelope(df, rank_keys(), SCORED_FIELDS).select(F.to_json(F.struct("count", "events"), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def merged_document(df: DataFrame, recovered_count: int) -> DataFrame:
