@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -106,13 +107,13 @@ def jsonld(pages: DataFrame, as_of: str, body: str = "html") -> DataFrame:
 
 
 def heuristic(pages: DataFrame, as_of: str, body: str = "html") -> DataFrame:
-    """Elements whose class hints at a listing, of 15 to 3000 characters, with a price or date; of nested ones those that hold no other; of the first 60
+    """Elements whose class hints at a listing, of 15 to 3000 characters, with a price or date; the outermost of nested ones; of the first 60
     of a page the first of each title."""
     cards = pages.select("source_url", F.col(body).alias("html")).mapInArrow(dom.hinted_cards, dom.CARD_TYPE)
     cards = cards.where(length_between("text", 15, dom.MOST_CHARS) & has_signal("text"))
-    # elements are numbered in the order of the page, so a card holds another one if the next card is not past its last element
-    after = F.lead("card_id").over(Window.partitionBy("source_url").orderBy("card_id"))
-    rows = cards.withColumn("after", after).where("after is null or after > last").withColumn("ordinal", F.col("pos"))
+    # elements are numbered in the order of the page, so a card lies in one before it if it is not past that one's last element
+    reach = F.max("last").over(Window.partitionBy("source_url").orderBy("card_id").rowsBetween(Window.unboundedPreceding, -1))
+    rows = cards.withColumn("reach", reach).where("reach is null or card_id > reach").withColumn("ordinal", F.col("pos"))
     clean = lambda x: ~x.rlike(EURO) & ~x.rlike(TIME)
     named = F.filter(F.transform("scopes", lambda s: F.coalesce(F.nullif(s["heading"], F.lit("")), F.when(clean(s["link"]), F.nullif(s["link"], F.lit(""))))), lambda t: t.isNotNull())
     href = F.try_element_at(F.filter(F.transform("scopes", lambda s: s["href"]), lambda h: h.isNotNull()), F.lit(1))
@@ -147,15 +148,27 @@ def page_links(pages: DataFrame, body: str = "html") -> DataFrame:
     return pages.select("source_url", heading.alias("heading"), href.alias("href"), absolute_url(href, "source_url").alias("url"))
 
 
-def cascade(pages: DataFrame, as_of: str) -> DataFrame:
+#: An extractor takes (pages, as_of, body), where ``body`` names the column to read, and gives the nine fields with ``ordinal``.
+Extractor = Callable[[DataFrame, str, str], DataFrame]
+#: The strategies by name: the extractor, the column it reads, and its tier. Of each source the lowest tier that finds any listing counts.
+EXTRACTORS: dict[str, tuple[Extractor, str, int]] = {
+    "jsonld": (jsonld, "html", 0), "heuristic": (heuristic, "html", 1), "rendered jsonld": (jsonld, "rendered", 2),
+    "rendered heuristic": (heuristic, "rendered", 3), "markdown": (markdown_generic, "markdown", 4),
+}
+
+
+def register(name: str, extractor: Extractor, body: str, tier: int) -> None:
+    """Adds a strategy to the cascade, or replaces the one of that name. Strategies of one tier count together."""
+    EXTRACTORS[name] = (extractor, body, tier)
+
+
+def cascade(pages: DataFrame, as_of: str, extractors: dict[str, tuple[Extractor, str, int]] | None = None) -> DataFrame:
     """Of each source the listings of the first strategy that finds any: structured data then cards of the plain page (unless it is a bot check), the same
-    of the rendered page, then markdown. ``pages`` has source_url, html, rendered and markdown, each possibly null."""
-    plain = pages.where("html is not null").where(~is_bot_challenge("html"))
-    rendered = pages.where("rendered is not null")
-    tiers = [jsonld(plain, as_of), heuristic(plain, as_of), jsonld(rendered, as_of, "rendered"), heuristic(rendered, as_of, "rendered"), markdown_generic(pages.where("markdown is not null"), as_of)]
+    of the rendered page, then markdown, and what :func:`register` has added. ``pages`` has source_url and the columns that the strategies read, each possibly null."""
     every = None
-    for k, rows in enumerate(tiers):
-        rows = rows.withColumn("tier", F.lit(k))
+    for extractor, body, tier in (EXTRACTORS if extractors is None else extractors).values():
+        some = pages.where(F.col(body).isNotNull())
+        rows = extractor(some.where(~is_bot_challenge(body)) if body == "html" else some, as_of, body).withColumn("tier", F.lit(tier))
         every = rows if every is None else every.unionByName(rows)
     return lowest_tier(every)
 

@@ -99,6 +99,13 @@ def validation_report(results: DataFrame, as_of_day: int, generated: str) -> str
     return "\n".join([*lines, "", "## 14-Day Schedule", f"- **Today:** Day {as_of_day} ({name})", f"- **Next:** Day {(as_of_day + 1) % CYCLE_DAYS} ({after})", ""])
 
 
+def missed_counts(scraped: DataFrame, missed: DataFrame, by: str = "source_url") -> DataFrame:
+    """How many listings of each source were scraped and how many missed, and whether its scraper is to be improved."""
+    have, lack = scraped.groupBy(by).agg(F.count("*").alias("scraped_count")), missed.groupBy(by).agg(F.count("*").alias("missed_count"))
+    both = have.join(lack, by, "full").na.fill(0, ["scraped_count", "missed_count"])
+    return both.withColumn("improvements_needed", F.col("missed_count") > 0)
+
+
 def envelope(df: DataFrame, order: list[Column], fields: tuple[str, ...]) -> DataFrame:
     """One row with all listings in order, for a document of publication size."""
     rows = df.select(F.struct(*fields).alias("e"), F.struct(*(c.alias(f"k{i}") for i, c in enumerate(order))).alias("k"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, prices, text, titles
 from ..operators import browse, categories, dedup, extract, filters, merge, report, scoring
+from ..sources import readers, sinks
 from .listings import AS_OF, LISTINGS_SQL, PER_PAGE, TEST_PROFILE, euro, listings, pages_of, table
 
 QUERIES: dict = {}
@@ -535,3 +536,144 @@ def extraction_cascade(spark, sf_dir):
     plain = F.when(F.col("kind") == 0, F.col("html")).when(F.col("kind") == 1, F.concat(F.lit("<title>Just a moment...</title>"), F.col("html")))
     pages = pages.select("source_url", plain.alias("html"), F.lit(None).cast("string").alias("rendered"), "markdown")
     return extract.cascade(pages, AS_OF).select("source_url", "title", F.col("tier"), "price")
+
+
+# --- envelopes, counts and pages that the flows meet more seldom ---------------------------------
+
+
+def _envelopes(spark, sf_dir) -> DataFrame:
+    """An envelope for each of 15 sites, three of them without listings; the first listing is that of the smallest ordinal."""
+    first = F.min_by(F.struct("title", "price"), "ordinal")
+    rows = listings(spark, sf_dir).groupBy("source_url").agg(F.count("*").alias("event_count"), F.array(first).alias("events"))
+    return _sources(spark).join(rows, "source_url", "left").withColumn("source", F.col("source_url"))
+
+
+@query("""+ s AS (SELECT 'https://s' || range || '.example' AS source FROM range(15)), f AS (SELECT source_url, count(*) AS n, arg_min(ordinal, ordinal) AS o FROM listings GROUP BY 1)
+SELECT s.source, coalesce(n, 0) > 0 AS succeeded, coalesce(n > 0 AND l.price IS NULL, FALSE) AS warns FROM s LEFT JOIN f ON f.source_url = s.source LEFT JOIN listings l ON l.ordinal = f.o""")
+def run_succeeded(spark, sf_dir):
+    found = filters.run_succeeded(_envelopes(spark, sf_dir))
+    return found.select("source", "succeeded", F.coalesce("warns", F.lit(False)).alias("warns"))
+
+
+@query("+ s AS (SELECT 'https://s' || range || '.example' AS source FROM range(15)) SELECT source FROM s WHERE source NOT IN (SELECT source_url FROM listings)")
+def failed_envelopes(spark, sf_dir):
+    return filters.failed_sources(_envelopes(spark, sf_dir)).select("source")
+
+
+@query("SELECT source_url AS site, left(string_agg(title, ' ' ORDER BY ordinal), 12000) AS html FROM listings GROUP BY 1 UNION ALL SELECT 'https://s' || range || '.example', NULL FROM range(12, 15)")
+def envelopes_with_html(spark, sf_dir):
+    titles_ = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "title"))), lambda x: x["title"]), " ")
+    pages = listings(spark, sf_dir).groupBy(F.col("source_url").alias("site")).agg(titles_.alias("body"))
+    return merge.with_source_html(_sources(spark).select(F.col("source_url").alias("site")), pages).select("site", "html")
+
+
+@query(f"""SELECT title, date, time, price, category, description, source_url FROM listings WHERE source_url = 'https://s3.example'
+  AND date >= strftime(DATE '{AS_OF}' - 7, '%Y-%m-%d') AND date <= strftime(DATE '{AS_OF}' + 14, '%Y-%m-%d')""")
+def store_of_source(spark, sf_dir):
+    return readers.stored_of_source(listings(spark, sf_dir), "https://s3.example", AS_OF)
+
+
+@query("SELECT ordinal, date || CASE WHEN time IS NULL THEN '' ELSE ' ' || time END AS shown, replace(lower(title), ' ', '_') AS slug, ordinal AS _id FROM listings")
+def display_date(spark, sf_dir):
+    return readers.with_id(listings(spark, sf_dir)).select("ordinal", dates.date_time("date", "time").alias("shown"), text.file_slug("title").alias("slug"), "_id")
+
+
+@query("""SELECT source_url, count(*) FILTER (ordinal % 3 <> 0) AS scraped_count, count(*) FILTER (ordinal % 3 = 0 AND price > 15) AS missed_count, count(*) FILTER (ordinal % 3 = 0 AND price > 15) > 0 AS improvements_needed FROM listings GROUP BY 1""")
+def missed_counts(spark, sf_dir):
+    rows = listings(spark, sf_dir)
+    return report.missed_counts(rows.where("ordinal % 3 <> 0"), rows.where("ordinal % 3 = 0 and price > 15"))
+
+
+@query("SELECT coalesce(title, '') AS pattern_name, coalesce(description, '') AS description, '' AS html_structure, 'not found by the scraper' AS why_missed, coalesce(url, '') AS example FROM listings WHERE price > 15")
+def missed_patterns(spark, sf_dir):
+    return sinks.missed_patterns(listings(spark, sf_dir).where("price > 15"))
+
+
+@query("+ l AS (SELECT DISTINCT source_url, min(url) OVER (PARTITION BY source_url) AS path FROM listings) SELECT source_url, path FROM l WHERE path = (SELECT min(path) FROM l)")
+def first_page(spark, sf_dir):
+    return readers.first_page(listings(spark, sf_dir).groupBy("source_url").agg(F.min("url").alias("path")))
+
+
+@query("SELECT doc_id, length(text) >= 15 AS long_enough, length(text) BETWEEN 15 AND 3000 AS fits FROM documents", False)
+def text_lengths(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", filters.length_between("text", 15).alias("long_enough"), filters.length_between("text", 15, 3000).alias("fits"))
+
+
+#: Listings to a page that is longer than every cap, and the deepest structured data.
+LONG_PAGE, DEEP = 100, 20
+_LONG = f"l AS (SELECT *, 'https://p.example/' || (ordinal // {LONG_PAGE}) AS page, (ordinal % 1500) / 100.0 AS p FROM listings)"
+
+
+def _capped(cap: int) -> str:
+    """The first of each title of a page, at most ``cap``."""
+    return f"t AS (SELECT *, row_number() OVER (PARTITION BY page, lower(title) ORDER BY ordinal) AS nth FROM l), u AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY ordinal) AS k FROM t WHERE nth = 1), c AS (SELECT * FROM u WHERE k <= {cap})"
+
+
+def _long_lines(spark, sf_dir) -> DataFrame:
+    rows = listings(spark, sf_dir).withColumn("cents", F.col("ordinal") % 1500)
+    line = F.concat(F.lit("- ["), F.col("title"), F.lit("](https://t.example/x) tickets, rsvp "), euro(F.col("cents")), F.lit(" €"))
+    return pages_of(rows, line, "\n", name="markdown", size=LONG_PAGE)
+
+
+@query(f"+ {_LONG}, {_capped(extract.GENERIC_CAP)} SELECT page AS source_url, title FROM c")
+def long_page_generic(spark, sf_dir):
+    return extract.markdown_generic(_long_lines(spark, sf_dir), AS_OF).select("source_url", "title")
+
+
+@query(f"+ {_LONG}, {_capped(extract.MEETUP_CAP)} SELECT page AS source_url, title FROM c")
+def long_page_meetup(spark, sf_dir):
+    return extract.markdown_meetup(_long_lines(spark, sf_dir), AS_OF).select("source_url", "title")
+
+
+@query(f"+ {_LONG}, {_capped(extract.TICKET_CAP)} SELECT page AS source_url, title FROM c")
+def long_page_tickets(spark, sf_dir):
+    return extract.markdown_tickets(_long_lines(spark, sf_dir), AS_OF).select("source_url", "title")
+
+
+@query(f"+ l AS (SELECT *, {_PAGE} AS page FROM listings) SELECT page AS source_url, title FROM l")
+def jsonld_deep(spark, sf_dir):
+    """Lists and graphs that lie in one another 20 deep."""
+    node = F.to_json(F.struct(F.lit("Event").alias("@type"), F.col("title").alias("name")))
+    head, foot = ("[" * 10 + '{"@graph":[' * 10), ("]}" * 10 + "]" * 10)
+    pages = pages_of(listings(spark, sf_dir), node, ",", f'<script type="application/ld+json">{head}', f"{foot}</script>", "html")
+    return extract.jsonld(pages, AS_OF).select("source_url", "title")
+
+
+@query("""SELECT page_id, 'https://h.example/' || CASE WHEN page_id % 12 >= 9 THEN '' ELSE array_to_string(list_transform(range(8 - page_id % 12), lambda i: 'f' || i), '/') || CASE WHEN page_id % 12 = 8 THEN '' ELSE '/' END END || 'x/y?z=../a' AS link FROM pages""", False)
+def links_up(spark, sf_dir):
+    """As many steps up as the id says, from a page eight folders deep."""
+    rows = table(spark, sf_dir, "pages")
+    base = F.lit("https://h.example/" + "".join(f"f{i}/" for i in range(8)) + "page?q=1")
+    href = F.concat(F.repeat(F.lit("../"), (F.col("page_id") % 12).cast("int")), F.lit("x/./w/../y?z=../a"))
+    return rows.select("page_id", text.absolute_url(href, base).alias("link"))
+
+
+@query(f"""+ l AS (SELECT *, {_PAGE} AS page, (ordinal % 3000) / 100.0 AS p FROM listings), n AS (SELECT *, title || ' ' || ordinal AS name FROM l)
+SELECT page AS source_url, CASE WHEN ordinal % 3 = 0 THEN 'Big Show' ELSE name END AS title, '2024-03-05' AS date, p::DOUBLE AS price, 'https://p.example/e/' || CASE WHEN ordinal % 3 = 0 THEN 'big-show-' ELSE '' END || ordinal AS url
+FROM (SELECT *, row_number() OVER (PARTITION BY page, CASE WHEN ordinal % 3 = 0 THEN 'Big Show' ELSE name END ORDER BY ordinal) AS nth FROM n) WHERE nth = 1""")
+def nested_cards(spark, sf_dir):
+    """Cards within cards, of which the outer ones count; titles with a badge, whose link names them; dates that stand above the card."""
+    rows = _marked(spark, sf_dir)
+    o = F.col("ordinal")
+    noisy = o % 3 == 0
+    name = F.concat("title", F.lit(" "), o.cast("string"))
+    heading = F.when(noisy, F.concat(F.lit("Sponsored "), name)).otherwise(name)
+    link = F.when(noisy, F.concat(F.lit("/e/big-show-"), o.cast("string"))).otherwise(F.concat(F.lit("/e/"), o.cast("string")))
+    card = F.concat(F.lit('<div class="event"><div class="event-card"><h3>'), heading, F.lit('</h3><a href="'), link, F.lit('">more</a> <b class="teaser">nothing but inner text for '), euro(F.col("cents")), F.lit(" €</b></div></div>"))
+    found = extract.heuristic(pages_of(rows, card, "\n", "<html><body><h1>am 2024-03-05</h1><div>", "</div></body></html>", "html"), AS_OF)
+    return found.select("source_url", "title", "date", "price", "url")
+
+
+@query(f"""+ {_CARDS}, a AS (SELECT *, (ordinal // {PER_PAGE}) % 3 AS kind FROM l), t AS (SELECT *, row_number() OVER (PARTITION BY page, lower(title) ORDER BY ordinal) AS nth FROM a)
+SELECT page AS source_url, title, CASE kind WHEN 0 THEN 2 WHEN 1 THEN 3 ELSE 5 END AS tier FROM t WHERE kind IN (0, 2) OR nth = 1""")
+def rendered_cascade(spark, sf_dir):
+    """Pages of three kinds whose listings show only when rendered, as structured data or as cards, or that a strategy of one's own reads."""
+    rows = _marked(spark, sf_dir)
+    node = F.to_json(F.struct(F.lit("Event").alias("@type"), F.col("title").alias("name")))
+    card = F.concat(F.lit('<div class="event"><h3>'), F.col("title"), F.lit("</h3> on 2024-02-02 for "), euro(F.col("cents")), F.lit(" €</div>"))
+    data = pages_of(rows, node, ",", '<script type="application/ld+json">[', "]</script>", "data")
+    pages = data.join(pages_of(rows, card, "\n", name="cards"), "source_url").withColumn("kind", F.regexp_extract("source_url", r"(\d+)$", 1).cast("long") % 3)
+    none = F.lit(None).cast("string")
+    pages = pages.select("source_url", F.lit("<p>loading</p>").alias("html"), F.when(F.col("kind") == 0, F.col("data")).when(F.col("kind") == 1, F.col("cards")).alias("rendered"), none.alias("markdown"), F.when(F.col("kind") == 2, F.col("data")).alias("feed"))
+    own = extract.EXTRACTORS | {"feed": (extract.jsonld, "feed", 5)}
+    return extract.cascade(pages, AS_OF, own).select("source_url", "title", "tier")

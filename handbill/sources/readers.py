@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.filters import around, recent
+from ..operators.scoring import numbered
 from ..schema import ENVELOPE, LISTING_FIELDS, STORED
 
 
@@ -33,10 +34,9 @@ def corrupt(rows: DataFrame) -> DataFrame:
 
 
 def with_ordinal(rows: DataFrame) -> DataFrame:
-    """A number that orders by path, then position. The paths of a scrape are few; they are ranked by a broadcast of their own list."""
-    paths = rows.select("path").distinct()
-    ranks = paths.selectExpr("sort_array(collect_set(path)) as all").selectExpr("posexplode(all) as (file, ranked)")
-    return rows.join(ranks, F.col("path") == F.col("ranked")).withColumn("ordinal", F.col("file").cast("long") * (1 << 32) + F.col("position")).drop("file", "ranked")
+    """A number that orders by path, then position; files are ranked in ranges of their paths, so their number does not matter."""
+    ranks = numbered(rows.select(F.col("path").alias("ranked")).distinct(), [F.asc("ranked")], "file")
+    return rows.join(ranks, F.col("path") == F.col("ranked")).withColumn("ordinal", (F.col("file") - 1) * (1 << 32) + F.col("position")).drop("file", "ranked")
 
 
 def read_listings(spark: SparkSession, path: str, pattern: str = "raw_*.json") -> DataFrame:
@@ -77,6 +77,13 @@ def key_values(text: str) -> dict[str, str]:
     return {k.strip(): v.strip() for k, v in pairs}
 
 
+def read_config(spark: SparkSession, path: str) -> dict:
+    """A configuration file in YAML, from any file system that Spark reaches; empty where the file is. Needs a YAML library on the driver."""
+    import yaml
+
+    return yaml.safe_load(spark.read.text(path, wholetext=True).first()["value"]) or {}
+
+
 def categories_of(config: dict) -> dict[str, list[str]]:
     """The categories of a parsed configuration, in its order."""
     return {name: [str(k) for k in (body or {}).get("keywords", [])] for name, body in (config.get("categories") or {}).items()}
