@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,21 +10,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.storage import shared_dir
+
 #: Words, as all contracts of this subpackage define them.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, and only where that is unset one of our own."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = f"file://{tempfile.mkdtemp(prefix='handbill-')}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+#: Folders made in the shared folder and not deleted yet.
+MADE: list[str] = []
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    MADE.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return MADE[-1]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -40,11 +37,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def discard(*frames: DataFrame) -> None:
     """Delete tables written by :func:`stored` that nothing reads any more."""
     for df in frames:
-        path = getattr(df, "_stored_at", None)
-        if path:
-            spark = df.sparkSession
+        if path := getattr(df, "_stored_at", None):
+            sweep(df.sparkSession, [path])
+
+
+def sweep(spark: SparkSession, paths: list[str] | None = None, keep: DataFrame | None = None) -> None:
+    """Delete folders of ours, all by default but the one of ``keep``: for when every result is written elsewhere."""
+    for path in list(MADE if paths is None else paths):
+        if keep is None or path != keep._stored_at:
             p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            if path in MADE:
+                MADE.remove(path)
 
 
 def parts(spark: SparkSession) -> int:

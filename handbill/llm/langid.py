@@ -11,7 +11,8 @@ multiplied first, then each segment runs between its exact messages: the result
 once. The prediction is the language with the largest mean posterior over the words that hold a letter, the score is that mean.
 
 Only texts are inputs. Defined cases: null texts and texts without a letter are ``und`` with score 1, or with score 0 where a model has no language; ties go to the
-first language by code point; languages that are null are not learned.
+first language by code point; languages that are null are not learned; rows that repeat a document are predicted each, and one of them is learned; texts of any
+length are one chain. An empty table gives an empty one, and a model without a language. Only doc_id, text and lang are read; ``accepted`` keeps all other columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,12 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import crc_mod, grams, pieces, stream, text_bytes, words
 
-SAMPLE = 200
+SAMPLE = 250
 BITS, ORDERS = 16, (2, 3, 4)
 EPOCHS, RATE, SEED = 3, 0.3, 11
 #: Words to a training chain, to a joined span at most, and to a segment when predicting.
@@ -113,7 +114,10 @@ def forward_backward(emissions: np.ndarray, at: np.ndarray, transitions: np.ndar
             if not len(live):
                 break
             w = where[live]
-            m = (transfer[w] @ step) * e[begin[live] + t][:, None, :]
+            m = transfer[w] @ step
+            if t == 0:  # the first word of a chain has no transition before it
+                m[start[live]] = np.eye(count)
+            m = m * e[begin[live] + t][:, None, :]
             transfer[w] = m / m.sum((1, 2), keepdims=True)
         firsts = np.cumsum(pieces_of) - pieces_of
         for k in range(int(pieces_of.max())):
@@ -122,8 +126,6 @@ def forward_backward(emissions: np.ndarray, at: np.ndarray, transitions: np.ndar
                 break
             here, after = rank[firsts[chains] + k], rank[firsts[chains] + k + 1]
             message = left[here]
-            if k == 0:  # the first word has no transition before it
-                message = np.full((len(chains), count), 1.0 / count) @ np.linalg.pinv(step)
             m = np.einsum("ri,rij->rj", message, transfer[where[here]])
             left[after] = m / m.sum(1, keepdims=True)
         for k in range(int(pieces_of.max()) - 1, 0, -1):
@@ -250,13 +252,12 @@ def _expected(emission: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Learns text and lang of documents that are not held out; ``sample`` bounds the documents of each language."""
     known = docs.where("lang is not null and text is not null").where(crc_mod(F.col("doc_id"), 4) != 2).select("doc_id", "text", "lang")
-    names = sorted(r.lang for r in known.select("lang").distinct().collect())
-    rows = []
-    for name in names:
-        picked = known.where(F.col("lang") == name).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        of = F.broadcast(picked.distinct().select(F.col("doc_id").alias("of")))  # at most sample rows
-        rows += known.where(F.col("lang") == name).join(of, F.col("doc_id") == F.col("of"), "left_semi").select("doc_id", "lang", "text").collect()
-    rows = sorted((r.doc_id, r.lang, r.text) for r in rows)
+    # one pass over ids for all languages, cut to the sample before any shuffle, and one for the sampled texts
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    picked = known.select("doc_id", "lang").withColumn("nth", nth).where(F.col("nth") <= sample).select(F.col("doc_id").alias("of"), F.col("lang").alias("of_lang")).distinct()
+    rows = known.join(F.broadcast(picked), F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("lang") == F.col("of_lang")))  # at most sample rows a language
+    rows = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))  # of rows that repeat an id, one is learned
+    rows = sorted(((r.doc_id, r.lang, r.text) for r in rows.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
     return train([t for _, _, t in rows], [x for _, x, _ in rows])
 
 

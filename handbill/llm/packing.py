@@ -4,12 +4,13 @@ The bucket bounds are optimal: dynamic programming over the histogram of all len
 documents to its longest. dp[j] = min over i of dp[i] + length[j] * (count[j] - count[i]) - (sum[j] - sum[i]) is the lower
 envelope of lines, read off in one pass for each bucket. The driver holds the histogram, a row for each distinct length.
 In a bucket of bound L, batches of ``budget // max(L, 1)`` documents, one at least, hold at most the budget of padded tokens.
-Documents are numbered within shards of a bucket, and shards by their counts (at most ``SHARDS`` a bucket), so no
-task orders a whole bucket.
+Documents of a bucket are numbered by doc_id, then length: within ranges of doc_id, that are moved on by the counts of the ranges before, so no
+task orders a whole bucket, and batches are the same however the rows lie.
 
 Length is the number of words unless another Column is given. Defined cases: a null or empty text has length 0;
-repeated rows are packed each; a document longer than the budget is a batch of its own; an empty table packs nothing.
-Only doc_id and what the length reads are read.
+repeated rows are packed each, null ids come first; rows that tie in doc_id and length are alike in all that is returned; a document longer than the budget is a batch of its own; texts of
+any length are counted whole; an empty table packs nothing. Only doc_id and what the length reads are read, so columns of other names do no harm. The ranges are those of the session's
+shuffle partitions.
 """
 
 from __future__ import annotations
@@ -17,11 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import parts, stored
 from .mixing import n_words
 
 BUCKETS, BUDGET = 16, 16384
-SHARD_ROWS, SHARDS = 1024, 4096
 
 
 def bounds(histogram: list[tuple[int, int]], buckets: int = BUCKETS) -> list[int]:
@@ -73,7 +73,8 @@ def packed(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, length
     """A row per document: doc_id, n_tokens, bucket, padded_to, batch (numbered within the bucket), slot."""
     spark = docs.sparkSession
     size = n_words(F.col("text")) if length is None else F.coalesce(length.cast("long"), F.lit(0))
-    rows = stored(docs.select("doc_id", size.alias("n_tokens"), F.spark_partition_id().alias("part")), "packing")
+    rows = docs.select("doc_id", size.alias("n_tokens")).repartitionByRange(parts(spark), F.asc_nulls_first("doc_id"), "n_tokens")
+    rows = stored(rows.withColumn("part", F.spark_partition_id()), "packing")  # a table: its ranges stay as they are
     histogram = [(r.n_tokens, r.n) for r in rows.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()]  # a row per distinct length
     tops = bounds(histogram, buckets)
     if not tops:
@@ -81,17 +82,14 @@ def packed(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, length
     bucket = F.lit(len(tops) - 1)
     for k in reversed(range(len(tops) - 1)):
         bucket = F.when(F.col("n_tokens") <= tops[k], k).otherwise(bucket)
-    held = [sum(n for x, n in histogram if x <= top) for top in tops]
-    held = [a - b for a, b in zip(held, [0, *held], strict=False)]
-    shards = F.array(*(F.lit(max(1, min(SHARDS, -(-n // SHARD_ROWS)))) for n in held))
-    dealt = rows.withColumn("bucket", bucket).withColumn("shard", F.pmod(F.xxhash64("doc_id", "part"), F.element_at(shards, F.col("bucket") + 1)).cast("int"))
+    dealt = rows.withColumn("bucket", bucket)
     before, offsets = {}, []
-    for r in sorted(dealt.groupBy("bucket", "shard").agg(F.count("*").alias("n")).collect()):  # at most buckets * SHARDS rows
-        offsets.append((r.bucket, r.shard, before.get(r.bucket, 0)))
+    for r in sorted(dealt.groupBy("bucket", "part").agg(F.count("*").alias("n")).collect()):  # at most buckets * ranges rows
+        offsets.append((r.bucket, r.part, before.get(r.bucket, 0)))
         before[r.bucket] = before.get(r.bucket, 0) + r.n
-    starts = F.broadcast(spark.createDataFrame(offsets, "bucket int, shard int, start long"))
-    nth = F.row_number().over(Window.partitionBy("bucket", "shard").orderBy("doc_id", "n_tokens")) - 1
+    starts = F.broadcast(spark.createDataFrame(offsets, "bucket int, part int, start long"))
+    nth = F.row_number().over(Window.partitionBy("bucket", "part").orderBy(F.asc_nulls_first("doc_id"), "n_tokens")) - 1
     top = F.element_at(F.array(*(F.lit(x).cast("long") for x in tops)), F.col("bucket") + 1)
     each = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(top, F.lit(1)))).cast("long")
-    numbered = dealt.withColumn("nth", nth).join(starts, ["bucket", "shard"]).withColumn("nth", F.col("nth") + F.col("start"))
+    numbered = dealt.withColumn("nth", nth).join(starts, ["bucket", "part"]).withColumn("nth", F.col("nth") + F.col("start"))
     return numbered.select("doc_id", "n_tokens", "bucket", top.alias("padded_to"), F.floor(F.col("nth") / each).cast("long").alias("batch"), (F.col("nth") % each).cast("int").alias("slot"))

@@ -8,7 +8,8 @@ learnable labels. For scoring, the linear layer is applied to the vectors once,
 
 Only texts are inputs. Defined cases: an empty, blank or null text has no features, its score is the share of label 1; a doc_id with several labels
 is learned with each; without labels of both classes every score is the share of 1 (0.5 without any). A text of over 2 MB is read in segments that end between
-words; the pair of words at a cut is no feature.
+words, with the same features as in one. Rows that repeat a document are scored each, ties do not occur. An empty table gives an empty one; without documents or
+labels nothing is learned. Only doc_id, text and the labels are read, so columns of any other name do no harm.
 """
 
 from __future__ import annotations
@@ -29,11 +30,15 @@ EPOCHS, RATE, SEED = 6, 1.5, 7
 TWICE = 1
 
 
-def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Buckets in the order of the texts, and the n+1 offsets of each text's, for each kind of feature."""
+def features(data: np.ndarray, offsets: np.ndarray, carried: list[np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets in the order of the texts, and the n+1 offsets of each text's, for each kind of feature. ``carried``: for a text that is read in
+    segments, the last word of the one before, which makes a pair with the first of this one."""
     _, _, h, at = words(data, offsets)
     top = np.uint64(64 - BITS)
     yield (h >> top).astype(np.int32), at
+    if carried is not None:
+        h, at = np.concatenate([carried[0], h]), np.array([0, len(carried[0]) + len(h)])
+        carried[0] = h[-1:]
     if len(h) > 1:
         with np.errstate(over="ignore"):
             pair = ((h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) * np.uint64(0xD6E8FEB86659FD93) >> top).astype(np.int32)
@@ -53,9 +58,10 @@ def _sums(column: pa.Array, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     data, offsets = text_bytes(column)
     parts = list(segments(data)) if len(column) == 1 else [data]
     total, count = np.zeros(len(column)), np.zeros(len(column), np.int64)
+    carried = [np.zeros(0, np.uint64)] if len(parts) > 1 else None
     for part in parts:
         at = offsets if len(parts) == 1 else np.array([0, len(part)], np.int64)
-        for ids, ends in features(part, at):
+        for ids, ends in features(part, at, carried):
             run = np.concatenate([[0.0], np.cumsum(weight[ids], dtype=np.float64)])
             total += run[ends[1:]] - run[ends[:-1]]
             count += np.diff(ends)
@@ -115,7 +121,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     prior = float(np.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 1)))
     picked = [known.where(F.col("y") == y).orderBy(F.xxhash64("of"), "of").limit(sample) for y in (0, 1)]
     rows = docs.select("doc_id", "text").join(F.broadcast(picked[0].unionByName(picked[1])), F.col("doc_id") == F.col("of"))  # 2 * sample rows
-    texts = sorted((r.doc_id, r.y, r.text or "") for r in rows.select("doc_id", "y", "text").collect())
+    rows = rows.groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # of rows that repeat an id, one is learned
+    texts = sorted((r.doc_id, r.y, r.text or "") for r in rows.collect())
     return train([t for _, _, t in texts], [y for _, y, _ in texts], prior)
 
 

@@ -7,13 +7,15 @@ longest vectors, which gives it a threshold, its k-th best score so far. Then it
 vector times its own length can reach that threshold. In a shard, blocks of queries pass blocks of
 candidates of descending length; a pair whose leading partial sum plus the product of the residual lengths
 (Cauchy-Schwarz) is below the threshold is pruned, and the others get their exact integer product. A shard is a
-bounded number of vectors, queries stream past it.
+bounded number of vectors, and the queries that reach it are dealt to as many cells of the shard as there are times ``CELL`` of them, so a
+task has a shard and about CELL queries, which stream past it.
 
-Scores are exact: products of integers in float64 where they stay below 2**53, else Python integers, cut to 64 bits.
+Scores are exact: products of integers in float64 where they stay below 2**53, else Python integers. A score, or a component times the scale, that
+does not fit in 64 bits (a double) is an error, not a wrong number.
 
 Defined cases: vectors that are null or hold a null or non-finite component take no part, nor do null ids; shorter
-vectors are padded with zeros; of rows that repeat an id, the least vector counts; ties go to the smaller id; fewer
-candidates than k: all of them. Only the id and vector columns are read.
+vectors are padded with zeros; of rows that repeat an id each is a candidate, and a query under one id, but none for its own id; ties go to the
+smaller id; fewer candidates than k: all of them; an empty table gives an empty one. Only the id and vector columns are read, so columns of other names do no harm.
 """
 
 from __future__ import annotations
@@ -28,15 +30,16 @@ from pyspark.sql import functions as F
 
 from .common import discard, parts, stored
 
-#: Candidates to a shard, candidates and queries to a block of pairs.
-SHARD, BLOCK, QUERIES = 8192, 1024, 256
+#: Candidates to a shard, candidates and queries to a block of pairs, queries to a cell.
+SHARD, BLOCK, QUERIES, CELL = 8192, 1024, 256, 4096
 #: Share of the squared lengths that the leading coordinates carry.
 ENERGY = 0.8
 
 
 def quantized(vector: Column, scale: float = 256.0) -> Column:
     """floor(scale * x) of every component as double; null where one is null or not finite."""
-    doubles = F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("double"))
+    # a double of 2**53 or more is whole
+    doubles = F.transform(F.transform(vector, lambda x: x.cast("double") * scale), lambda x: F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x))
     ok = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     return F.when(vector.isNotNull() & F.coalesce(ok, F.lit(False)), doubles)
 
@@ -107,7 +110,10 @@ class Shard:
             if exact:
                 scores = np.einsum("ij,ij->i", queries[q], self.vectors[c]).astype(np.int64)
             else:
-                scores = np.array([max(-(2**63), min(2**63 - 1, sum(int(a) * int(b) for a, b in zip(queries[i], self.vectors[j], strict=True)))) for i, j in zip(q, c, strict=True)], dtype=np.int64)
+                scores = [sum(int(a) * int(b) for a, b in zip(queries[i], self.vectors[j], strict=True)) for i, j in zip(q, c, strict=True)]
+                if max(scores) >= 2**63 or min(scores) < -(2**63):
+                    raise OverflowError("a score does not fit in 64 bits")
+                scores = np.array(scores, dtype=np.int64)
             order = np.lexsort((self.ids[c], -scores, q))
             q, c, scores = q[order], c[order], scores[order]
             first = np.searchsorted(q, q)
@@ -126,14 +132,14 @@ _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score",
 
 def _search(turn: np.ndarray, lead: int, k: int, dims: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by shard, its candidates before the queries that reach it."""
+        """Rows come by cell, the candidates of its shard before its queries."""
         at, held, shard, ids = None, [], None, []
 
         def batch_of(rows: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], schema=_FOUND)
 
         for batch in batches:
-            shards, is_query = batch.column("shard").to_numpy(zero_copy_only=False), batch.column("is_query").to_numpy(zero_copy_only=False)
+            shards, is_query = batch.column("cell").to_numpy(zero_copy_only=False), batch.column("is_query").to_numpy(zero_copy_only=False)
             all_ids, floors = batch.column("id").to_numpy(), batch.column("floor").to_numpy(zero_copy_only=False)
             vectors = _matrix(batch.column("v"), dims)
             edges = np.flatnonzero((np.diff(shards) != 0) | (np.diff(is_query.astype(int)) != 0)) + 1
@@ -168,11 +174,14 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_i
     query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), quantized(F.col(vector_col)).alias("v")).where("id is not null and v is not null")
-    rows = stored(rows.groupBy("id").agg(F.min("v").alias("v")).withColumn("length", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)), "vectors")
-    n, dims = rows.agg(F.count("*"), F.max(F.size("v"))).first()
+    # the number of a row deals rows of one id and length to different shards
+    rows = stored(rows.withColumns({"length": F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), "nth": F.monotonically_increasing_id()}), "vectors")
+    n, dims, most = rows.agg(F.count("*"), F.max(F.size("v")), F.max("length")).first()
     if not n:
         discard(rows)
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    if most is None or not np.isfinite(most):
+        raise OverflowError("a vector is too long for its inner products to fit in 64 bits")
     turn, lead = rotation(rows, max(1, dims))
     shards = max(1, -(-n // SHARD))
     cuts = rows.agg(F.percentile_approx("length", [i / shards for i in range(1, shards)] or [0.5], 20 * shards + 1000).alias("at")).first()["at"] if shards > 1 else []
@@ -182,7 +191,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_i
     def shard_of(length: pd.Series) -> pd.Series:
         return pd.Series(len(cuts) - np.searchsorted(np.array(cuts), length.to_numpy(), "right"))
 
-    # equal lengths can overfill a shard: it is cut again by a hash of the id
+    # equal lengths can overfill a shard: it is cut again by a hash
     placed = rows.withColumn("band", shard_of("length"))
     sizes = {r.band: (r.n, r.longest) for r in placed.groupBy("band").agg(F.count("*").alias("n"), F.max("length").alias("longest")).collect()}  # a row per shard
     start, firsts, reach = 0, {}, []
@@ -192,13 +201,23 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_i
         reach += [float(np.sqrt(sizes[band][1]))] * pieces
         start += pieces
     table = spark.createDataFrame([(b, s, p) for b, (s, p) in firsts.items()], "of int, start int, pieces int")
-    placed = placed.join(F.broadcast(table), F.col("band") == F.col("of")).select((F.col("start") + F.pmod(F.xxhash64("id"), F.col("pieces"))).cast("int").alias("shard"), F.lit(False).alias("is_query"), "id", "v", "length", F.lit(0.0).alias("floor"))
-    asked = rows.where(queries).select(F.lit(True).alias("is_query"), "id", "v", "length")
+    placed = placed.join(F.broadcast(table), F.col("band") == F.col("of")).select((F.col("start") + F.pmod(F.xxhash64("nth"), F.col("pieces"))).cast("int").alias("shard"), F.lit(False).alias("is_query"), "id", "v", "length", F.lit(0.0).alias("floor"))
+    asked = rows.where(queries).select(F.lit(True).alias("is_query"), "id", "v", "length", "nth")
     run = _search(turn, lead, k, max(1, dims))
-    columns = ["shard", "is_query", "id", "v", "floor"]
+    columns = ["cell", "is_query", "id", "v", "floor"]
 
     def pass_over(candidates: DataFrame, probes: DataFrame) -> DataFrame:
-        dealt = candidates.select(columns).unionByName(probes.select(columns)).repartition(parts(spark), "shard").sortWithinPartitions("shard", "is_query")
+        """Candidates go to every cell of their shard, queries to one of each shard that they reach."""
+        at, cells = 0, []
+        for r in sorted(probes.groupBy("shard").agg(F.count("*").alias("n")).collect()):  # a row per shard
+            cells.append((r.shard, at, -(-r.n // CELL)))
+            at += cells[-1][2]
+        if not cells:
+            return spark.createDataFrame([], "query_id long, vec_id long, score long")
+        of = F.broadcast(spark.createDataFrame(cells, "cell_of int, first int, cells int"))
+        here = candidates.join(of, F.col("shard") == F.col("cell_of")).withColumn("cell", F.explode(F.sequence("first", F.col("first") + F.col("cells") - 1)))
+        there = probes.join(of, F.col("shard") == F.col("cell_of")).withColumn("cell", (F.col("first") + F.pmod(F.xxhash64("nth"), F.col("cells"))).cast("int"))
+        dealt = here.select(columns).unionByName(there.select(columns)).repartition(max(parts(spark), at), "cell").sortWithinPartitions("cell", "is_query")
         return dealt.mapInArrow(run, "query_id long, vec_id long, score long")
 
     lowest = float(-(2**63)) * 4

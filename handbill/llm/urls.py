@@ -11,7 +11,8 @@ Memory is the stack: as many rules as are nested.
 
 Defined cases: a url that is null or has no ``://`` has an empty host and path; rules of an empty host fit none
 but those; where rules are equal, block wins; no rule: the default verdict, ``allow``. Only the id and url columns
-are read; null ids and repeated rows each keep their row.
+are read, so columns of other names do no harm; null ids and repeated rows each keep their row. An url of any length gives as many probes as the deepest rule has
+labels, at most; a host may hold any character. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import parts, stored
 
-_LABEL, _PATH = "\x01", "\x02"
+#: Marks in keys: of a label's end, of the path's start, and before a character of a host that looks like a mark.
+_LABEL, _PATH, _ESCAPE = "\x01", "\x02", "\x03"
 #: Keys sampled to choose the bounds of ranges.
 SAMPLE = 8192
 DEFAULT = "allow"
@@ -42,14 +44,21 @@ def path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _labels(name: Column) -> Column:
+    """The labels of a host, the empty one of one, without marks."""
+    for k, mark in enumerate((_ESCAPE, _LABEL, _PATH)):
+        name = F.replace(name, F.lit(mark), F.lit(_ESCAPE + "abc"[k]))
+    return F.split(name, r"\.")
+
+
 def _host_key(labels: Column) -> Column:
     return F.concat(F.array_join(F.reverse(labels), _LABEL), F.lit(_LABEL))
 
 
-def _probes(rows: DataFrame) -> DataFrame:
-    """A row for each suffix of the host's labels; the empty host is one label."""
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.concat(_host_key(F.slice(labels, -n, n)), F.lit(_PATH), F.col("path")))
+def _probes(rows: DataFrame, deepest: int) -> DataFrame:
+    """A row for each suffix of the host's labels that is no longer than the deepest rule's host."""
+    labels = _labels(F.col("host"))
+    suffixes = F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(deepest))), lambda n: F.concat(_host_key(F.slice(labels, -n, n)), F.lit(_PATH), F.col("path")))
     return rows.select("row_id", F.explode(suffixes).alias("key"))
 
 
@@ -111,7 +120,9 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     n = parts(spark)
     named = pages.select(F.col(id_col).alias("id"), host(F.col(url_col)).alias("host"), path(F.col(url_col)).alias("path"))
     numbered = stored(named.withColumn("row_id", F.monotonically_increasing_id()), "urls")
-    probes = _probes(numbered)
+    host_of = F.lower("host")
+    deepest = rules.agg(F.max(F.size(_labels(host_of)))).first()[0] or 1
+    probes = _probes(numbered, deepest)
     sample = probes.select("key", "row_id").orderBy(F.xxhash64("key", "row_id")).limit(SAMPLE).sort("key", "row_id").collect()  # at most SAMPLE keys
     ranges = 2 * n
     cuts = [sample[i * len(sample) // ranges] for i in range(1, ranges)] if sample else []
@@ -119,7 +130,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     dealt_type = "range int, key string, is_probe boolean, row_id long, rule string, verdict string"
     probes = probes.mapInArrow(_deal_probes(bounds), dealt_type)
     intervals = rules.select(
-        F.concat(_host_key(F.split(F.lower("host"), r"\.")), F.lit(_PATH), F.coalesce("path", F.lit(""))).alias("key"), F.concat(F.lower("host"), F.coalesce("path", F.lit(""))).alias("rule"), "verdict",
+        F.concat(_host_key(_labels(host_of)), F.lit(_PATH), F.coalesce("path", F.lit(""))).alias("key"), F.concat(F.lower("host"), F.coalesce("path", F.lit(""))).alias("rule"), "verdict",
     ).groupBy("key", "rule").agg(F.max("verdict").alias("verdict")).mapInArrow(_deal_rules(bounds), dealt_type)
     dealt = probes.unionByName(intervals).repartition(n, "range").sortWithinPartitions("range", "key", "is_probe", "row_id")
     hits = dealt.mapInArrow(_sweep, "row_id long, rule string, verdict string, length long")

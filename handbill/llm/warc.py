@@ -14,7 +14,8 @@ that Spark commits. Folders are reached through the Arrow file systems (file, hd
 
 Defined cases: a null html is the empty payload, a null url ``urn:null``; a null page_id counts as the
 smallest; rows that repeat a page_id and payload share their fate; equal payloads without any page_id are
-responses. Only page_id, url and html are read.
+responses. An html of any length is one record, held whole by the task that writes it. An empty table writes no bundle, its index is empty. Only page_id, url and
+html are read, so columns of other names do no harm.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import json
 import struct
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 import zstandard
@@ -39,6 +41,8 @@ FRAME, BUNDLE = 1 << 17, 8 << 20
 #: Fixed values of the public seekable format and of skippable frames.
 SEEK_MAGIC, SEEK_FOOTER, TABLE_MAGIC = 0x184D2A5E, 0x8F92EAB1, 0x184D2A50
 DATE = "2024-01-15T00:00:00Z"
+#: Characters that stay in a header's address as they are; all others are written as their UTF-8 bytes in percent form.
+_IN_URI = "%/:?#[]@!$&'()*+,;=~"
 
 INDEX = "page_id long, record_id string, record_type string, bundle string, frame int, offset long, length long"
 _INDEX = pa.schema([("page_id", pa.int64()), ("record_id", pa.string()), ("record_type", pa.string()), ("bundle", pa.string()), ("frame", pa.int32()), ("offset", pa.int64()), ("length", pa.int64())])
@@ -61,7 +65,7 @@ def encode(page_id: int | None, url: str | None, payload: bytes, sha: str, refer
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block += b"" if revisit else payload
     rid = record_id(kind, page_id, sha)
-    uri = "".join(c if c.isprintable() and c != " " else "%20" for c in url or "urn:null")
+    uri = "urn:null" if url is None else quote(url, safe=_IN_URI) or "urn:empty"
     head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {rid}", f"WARC-Date: {DATE}", f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{sha}", f"WARC-Identified-Page: {'' if page_id is None else page_id}", "Content-Type: application/http;msgtype=response"]
     if revisit:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id('response', refers_to, sha)}", f"WARC-Refers-To-Page: {refers_to}"]
@@ -220,4 +224,7 @@ def _parse(uri: str):
 
 def read(path: str, index: DataFrame) -> DataFrame:
     """All records of the bundles that the index names, every payload checked against its digest."""
-    return index.select("bundle").distinct().repartition("bundle").mapInArrow(_parse(path), READ)
+    names = stored(index.select("bundle").distinct(), "warc-bundles")
+    # a number of tasks by that of the bundles: the planner sees only their names, and would read all in one
+    n = names.count()
+    return names.repartition(max(1, n if n < 4096 else 4096 + n // 16), "bundle").mapInArrow(_parse(path), READ)

@@ -54,3 +54,28 @@ def test_mix_meets_the_targets(docs_of, monkeypatch):
 def test_empty(docs_of):
     assert mixing.mixed(docs_of((1, "a")).limit(0)).count() == 0
     assert [r.taken for r in mixing.mixed(docs_of((1, None), (2, ""))).collect()] == [0, 0]
+
+
+def test_repeated_rows_are_dealt_each(docs_of, spark):
+    docs = docs_of(*[(1, "w " * 100, "en", "a")] * 200, *[(i, "w " * 100, "en", "b") for i in range(10, 210)])
+    got = mixing.mixed(docs).collect()
+    for s in "ab":
+        own = [r for r in got if r.source == s]
+        assert len(own) == 200 and abs(sum(r.taken for r in own) - own[0].target) <= 100 and {r.copies for r in own} <= {0, 1, 2}
+    assert mixing.mix(docs).where("doc_id = 1").count() == sum(r.copies for r in got if r.doc_id == 1)
+
+
+def test_words_of_a_source_come_as_near_as_the_last_choice_allows(docs_of):
+    """Against all subsets: with few documents the mix is one whose words lie within the largest document of the target."""
+    rng = random.Random(4)
+    for _ in range(3):
+        rows = [(i, "w " * rng.randrange(1, 30), "en", "ab"[i % 2]) for i in range(18)]
+        got = mixing.mixed(docs_of(*rows)).collect()
+        for s in "ab":
+            own = [r for r in got if r.source == s]
+            whole = min(int(r.target / r.source_size + 1e-12) for r in own)
+            base, sizes = whole * own[0].source_size, [r.size for r in own]
+            sums = {0}
+            for x in sizes:
+                sums |= {y + x for y in sums}
+            assert sum(r.taken for r in own) - base in sums and abs(sum(r.taken for r in own) - own[0].target) <= max(sizes)

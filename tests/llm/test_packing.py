@@ -24,8 +24,7 @@ def test_bounds_are_optimal(seed):
     assert len(tops) <= k and tops[-1] == lengths[-1] and waste(hist, tops) == best
 
 
-def test_batches_hold_the_budget(docs_of, monkeypatch):
-    monkeypatch.setattr(packing, "SHARD_ROWS", 7)
+def test_batches_hold_the_budget(docs_of):
     rng = random.Random(0)
     rows = [(i, "w " * rng.choice([0, 1, 5, 50, 300])) for i in range(200)] + [(500, None), (501, "w " * 5000), (3, "w"), (3, "w"), (None, "w w")]
     got = packing.packed(docs_of(*rows, extra="bucket"), buckets=4, budget=1000).collect()
@@ -47,3 +46,10 @@ def test_other_lengths_and_empty(docs_of):
     got = packing.packed(docs_of((1, "abc"), (2, "a")), length=F.length("text")).collect()
     assert sorted(r.n_tokens for r in got) == [1, 3]
     assert packing.packed(docs_of((1, "a")).limit(0)).count() == 0
+
+
+def test_batches_do_not_depend_on_how_rows_lie(docs_of):
+    rng = random.Random(1)
+    docs = docs_of(*[(rng.choice([None, rng.randrange(300)]), "w " * rng.randrange(40)) for _ in range(700)])
+    got = [sorted(map(str, packing.packed(docs.repartition(n), buckets=5, budget=200).collect())) for n in (1, 5)]
+    assert got[0] == got[1]
