@@ -4,14 +4,16 @@
 two spans, of one text or of two, compare in constant time, and the longest common extension of two places is
 found by binary search. A fingerprint holds the length, hashes of the whole text, and the ``SKETCH`` least mixed
 hashes of all distinct spans of ``SPAN`` code points (a shorter text is one span). The likeness of two fingerprints is the
-share of common spans, 2J / (1 + J) of the estimated Jaccard index J: about the share of a text that is kept.
+share of common spans, 2J / (1 + J) of the estimated Jaccard index J: about the share of a text that is kept. Where the common
+prefix and suffix, which the prefix arrays give, are a larger share of the longer text, that is the likeness: so texts too short for many spans are compared too.
 
 Each document is linked with its successor by doc_id: documents are dealt to ranges of doc_id whose bounds
 are percentiles, the least row of each range also goes to the end of the range before it, and each range is read in
 order, one text at a time. Memory is a text and its arrays, and a bound for each range.
 
 Defined cases: a null text is empty; null doc_ids come first; rows of one doc_id are ordered by text; a single
-document is its own successor; two empty texts are alike by 1, an empty and another by 0. Only doc_id and text are read.
+document is its own successor; two empty texts are alike by 1, an empty and another by 0; rows that repeat a document follow one another; a text of any length is read
+whole, by one task; an empty table gives an empty one. Null ids, if many, are all in the first range. Only doc_id and text are read, so columns of other names do no harm.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from .common import mix, parts
 PRIMES = (2147483647, 2147483629, 2147483587)
 BASES = (911382323, 972663749, 1337031523)
 SPAN, SKETCH = 32, 64
+#: Ranges of doc_id to a task.
+RANGES = 8
 
 _tables: dict[int, np.ndarray] = {}
 
@@ -146,6 +150,20 @@ _SCHEMA = pa.schema(_FIELDS)
 _DDL = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, common_prefix long, common_suffix long"
 
 
+def suffix(a: Prefix, b: Prefix) -> int:
+    """How many code points at the ends are equal, by the same search as for extensions."""
+    low, high = 0, min(a.n, b.n)
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a.equal(a.n - mid, b, b.n - mid, mid) else (low, mid - 1)
+    return low
+
+
+def alike(a: Prefix, b: Prefix, sketches: float, ends: tuple[int, int]) -> float:
+    """The larger of the sketches' likeness and the share of common ends."""
+    return max(sketches, min(a.n, b.n, sum(ends)) / max(a.n, b.n)) if a.n and b.n else sketches
+
+
 class _Document:
     def __init__(self, doc_id, text):
         self.doc_id, self.text = doc_id, text or ""
@@ -162,12 +180,10 @@ class _Document:
         mark, sketch = fingerprint(prefix)
         sketch = sketch >> np.uint64(24)
         sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-        lcp = self.prefix.extension(0, prefix, 0)
-        low, high = 0, min(n, prefix.n)
-        while low < high:  # the longest common suffix, by the same search
-            mid = (low + high + 1) // 2
-            low, high = (mid, high) if self.prefix.equal(n - mid, prefix, prefix.n - mid, mid) else (low, mid - 1)
-        return self.doc_id, n, sha, self.print, mark, likeness(self.sketch, sketch), likeness(self.sketch, after.sketch), lcp, low
+        ends = self.prefix.extension(0, prefix, 0), suffix(self.prefix, prefix)
+        next_ends = self.prefix.extension(0, after.prefix, 0), suffix(self.prefix, after.prefix)
+        near = alike(self.prefix, prefix, likeness(self.sketch, sketch), ends)
+        return self.doc_id, n, sha, self.print, mark, near, alike(self.prefix, after.prefix, likeness(self.sketch, after.sketch), next_ends), *ends
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,8 +210,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     n = parts(spark)
     rows = docs.select("doc_id", "text")
-    share = [i / (2 * n) for i in range(1, 2 * n)]
-    cuts = rows.agg(F.percentile_approx("doc_id", share, 20 * n).alias("at")).first()["at"]
+    # several ranges to a task, as their hashes deal them unevenly
+    share = [i / (RANGES * n) for i in range(1, RANGES * n)]
+    cuts = rows.agg(F.percentile_approx("doc_id", share, 10 * RANGES * n).alias("at")).first()["at"]
     bounds = sorted(set(cuts or []))
 
     @F.pandas_udf("int")

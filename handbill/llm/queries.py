@@ -103,6 +103,24 @@ SELECT page_id, n::BIGINT AS payload_bytes,
   CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
 FROM j""",
+    "op6_packing": r"""
+WITH RECURSIVE s AS (SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS n FROM documents),
+g AS (SELECT n, count(*) AS c FROM s GROUP BY 1),
+h AS (SELECT 0 AS j, 0::BIGINT AS n, 0::HUGEINT AS cnt, 0::HUGEINT AS tot UNION ALL
+      SELECT row_number() OVER (ORDER BY n), n, sum(c) OVER (ORDER BY n), sum(c * n) OVER (ORDER BY n) FROM g),
+m AS (SELECT max(j) AS m FROM h),
+-- the least padding of the first j lengths in so many buckets, and where the last one begins
+dp AS (SELECT 0 AS level, 0::BIGINT AS j, 0::HUGEINT AS cost, 0::BIGINT AS origin
+       UNION ALL
+       SELECT level, j, best.c, -best.i FROM (
+         SELECT d.level + 1 AS level, h.j, min({'c': d.cost + h.n * (h.cnt - p.cnt) - (h.tot - p.tot), 'i': -d.j}) AS best
+         FROM dp d JOIN h p ON p.j = d.j JOIN h ON h.j > d.j WHERE d.level < 16 GROUP BY d.level, h.j)),
+bt AS (SELECT level, j FROM (SELECT level, j FROM dp, m WHERE j = m AND m > 0 ORDER BY cost, level LIMIT 1)
+       UNION ALL
+       SELECT dp.level - 1, dp.origin FROM bt JOIN dp ON dp.level = bt.level AND dp.j = bt.j WHERE dp.origin > 0),
+t AS (SELECT n AS top, (row_number() OVER (ORDER BY n) - 1)::INTEGER AS bucket, coalesce(lag(n) OVER (ORDER BY n), -1) AS low FROM bt JOIN h USING (j)),
+r AS (SELECT doc_id, n, bucket, top, greatest(1, 16384 // greatest(top, 1)) AS each, row_number() OVER (PARTITION BY bucket ORDER BY doc_id NULLS FIRST, n) - 1 AS nth FROM s JOIN t ON n > low AND n <= top)
+SELECT doc_id, n AS n_tokens, bucket, top AS padded_to, nth // each AS batch, (nth % each)::INTEGER AS slot FROM r""",
     "op7_urls": """
 WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 h AS (SELECT page_id, lower(regexp_extract(rest, '^[^/?#]*')) AS host, regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u),
@@ -110,4 +128,16 @@ r(rhost, rpath, rverdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en
 m AS (SELECT h.page_id, h.host, h.path, rhost || rpath AS rule, rverdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rhost || rpath) DESC NULLS LAST) AS k
       FROM h LEFT JOIN r ON ('.' || h.host) LIKE ('%.' || rhost) AND starts_with(h.path, rpath))
 SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict FROM m WHERE k = 1""",
+    "op8_near": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS shingle FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+k AS (SELECT dense_rank() OVER (ORDER BY shingle) AS k, doc_id FROM s),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM k x JOIN k y ON x.k = y.k AND x.doc_id < y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT a AS node, a AS seen FROM u UNION SELECT u.b, r.seen FROM r JOIN u ON u.a = r.node),
+c AS (SELECT node, min(seen) AS least FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.least, d.doc_id) AS component_id, coalesce(c.least, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.node = d.doc_id""",
 }

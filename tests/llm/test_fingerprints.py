@@ -66,3 +66,32 @@ def test_single_and_empty(docs_of):
     r = fp.fingerprints(docs_of((1, "abcdefgh"))).first()
     assert r.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
     assert fp.fingerprints(docs_of((1, "a")).limit(0)).count() == 0
+
+
+def test_likeness_of_short_texts_is_exact(docs_of):
+    """With fewer spans than a sketch holds, against sets of spans and the common ends."""
+
+    def spans(t):
+        return {t[i : i + fp.SPAN] for i in range(max(1, len(t) - fp.SPAN + 1))} if t else set()
+
+    def want(a, b):
+        if not a or not b:
+            return float(a == b)
+        lcp = next((k for k, (p, q) in enumerate(zip(a, b, strict=False)) if p != q), min(len(a), len(b)))
+        lcs = next((k for k, (p, q) in enumerate(zip(a[::-1], b[::-1], strict=False)) if p != q), min(len(a), len(b)))
+        j = len(spans(a) & spans(b)) / len(spans(a) | spans(b))
+        return max(2 * j / (1 + j), min(len(a), len(b), lcp + lcs) / max(len(a), len(b)))
+
+    rng = random.Random(8)
+    rows = [(i, "".join(rng.choice("abcd é") for _ in range(rng.choice([0, 1, 3, 10, 40, 60])))) for i in range(60)]
+    rows += [(100 + i, "one text of its own, "[: 5 + i]) for i in range(12)]
+    got = {r.doc_id: r for r in fp.fingerprints(docs_of(*rows)).collect()}
+    for k, (i, t) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        n = len(t)
+        assert abs(got[i].near_edited - want(t, t[: n - n // 4] + after[: n // 4])) < 1e-9 and abs(got[i].near_next - want(t, after)) < 1e-9
+    assert all(got[i].near_edited >= 0.5 for i, t in rows if len(t) >= 4)
+
+
+def test_empty_table(docs_of):
+    assert fp.fingerprints(docs_of((1, "a")).limit(0)).count() == 0

@@ -58,3 +58,34 @@ def test_query_on_held_out_rows(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
     held = [r for r in got if r.held_out]
     assert np.mean([r.lang == r.lang_pred for r in held]) > 0.95
+
+
+def test_expected_counts_are_those_of_all_label_sequences():
+    import itertools
+
+    rng = np.random.default_rng(6)
+    em, tr = rng.normal(size=(2, 4, 3)), rng.normal(size=(3, 3))
+    post, pair = langid._expected(em, tr)
+    want, pairs = np.zeros_like(em), np.zeros((3, 3))
+    for c in range(2):
+        paths = list(itertools.product(range(3), repeat=4))
+        w = np.exp([sum(em[c, t, y] for t, y in enumerate(p)) + sum(tr[a, b] for a, b in itertools.pairwise(p)) for p in paths])
+        for p, x in zip(paths, w / w.sum(), strict=True):
+            for t, y in enumerate(p):
+                want[c, t, y] += x
+            for a, b in itertools.pairwise(p):
+                pairs[a, b] += x
+    assert np.allclose(post, want) and np.allclose(pair, pairs)
+
+
+def test_sample_is_of_the_lowest_hashes(docs_of, spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    docs = docs_of(*((i, f"word{i} text", "en" if i % 3 else "fr") for i in range(60)), (1, "word1 text", "en"), (None, "no id", "fr"))
+    seen = {}
+    monkeypatch.setattr(langid, "train", lambda texts, labels: seen.update(texts=texts, labels=labels))
+    langid.fit(docs, sample=5)
+    known = docs.where(~(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2)).withColumn("h", F.xxhash64("doc_id")).collect()
+    for lang in ("en", "fr"):
+        lowest = sorted((r for r in known if r.lang == lang), key=lambda r: (r.h, r.doc_id or -1))[:5]
+        assert sorted({r.text for r in lowest}) == sorted(t for t, x in zip(seen["texts"], seen["labels"], strict=True) if x == lang)

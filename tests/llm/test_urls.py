@@ -47,3 +47,11 @@ def test_hot_host_is_spread_and_tables_may_be_empty(spark):
     assert urls.judge(df, table).where("verdict = 'block'").count() == 5000
     assert urls.judge(df.limit(0), table).count() == 0
     assert urls.judge(df.limit(3), table.limit(0)).where("verdict = 'allow' and rule is null").count() == 3
+
+
+def test_marks_in_hosts_and_deep_hosts(spark):
+    rules = spark.createDataFrame([("example.com", "/en/", "block"), ("a\x02b.net", "/", "block")], "host string, path string, verdict string")
+    rows = [(1, "http://com\x01example/en/x"), (2, "http://x.example.com/en/x"), (3, "http://" + "a." * 20000 + "example.com/en/y"), (4, "http://a\x02b.net/z"), (5, "http://net\x01a/z")]
+    got = {r.page_id: r.rule for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert got == {1: None, 2: "example.com/en/", 3: "example.com/en/", 4: "a\x02b.net/", 5: None}
+    assert urls.judge(spark.createDataFrame(rows, "page_id long, url string").limit(0), rules).count() == 0

@@ -73,3 +73,17 @@ def test_a_broken_payload_is_an_error():
 def test_empty(pages):
     path, index = warc.write(pages[0].limit(0))
     assert warc.read(path, index).count() == 0
+
+
+def test_bundles_are_read_by_many_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(i, f"https://a.example/{i}", f"page {i} " * 50) for i in range(200)]
+    path, index = warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(16))
+    n = index.select("bundle").distinct().count()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert n > 2 and warc.read(path, index).rdd.getNumPartitions() >= n
+
+
+def test_addresses_stay_apart():
+    lines = [warc.encode(1, url, b"", "X", None, False)[1].split(b"WARC-Target-URI: ")[1].split(b"\r\n")[0] for url in (None, "", "a b", "a\nb", "a%20b?x=1&y=#z", "\u00fc")]
+    assert len(set(lines)) == len(lines) and lines[2:] == [b"a%20b", b"a%0Ab", b"a%20b?x=1&y=#z", b"%C3%BC"]
