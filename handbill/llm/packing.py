@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import parts, stored
+from .common import discard, parts, stored
 from .mixing import n_words
 
 BUCKETS, BUDGET = 16, 16384
@@ -73,8 +73,10 @@ def packed(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, length
     """A row per document: doc_id, n_tokens, bucket, padded_to, batch (numbered within the bucket), slot."""
     spark = docs.sparkSession
     size = n_words(F.col("text")) if length is None else F.coalesce(length.cast("long"), F.lit(0))
-    rows = docs.select("doc_id", size.alias("n_tokens")).repartitionByRange(parts(spark), F.asc_nulls_first("doc_id"), "n_tokens")
+    counted = stored(docs.select("doc_id", size.alias("n_tokens")), "packing-sizes")  # a table: to find the ranges reads it once more
+    rows = counted.repartitionByRange(parts(spark), F.asc_nulls_first("doc_id"), "n_tokens")
     rows = stored(rows.withColumn("part", F.spark_partition_id()), "packing")  # a table: its ranges stay as they are
+    discard(counted)
     histogram = [(r.n_tokens, r.n) for r in rows.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()]  # a row per distinct length
     tops = bounds(histogram, buckets)
     if not tops:
