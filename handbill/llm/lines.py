@@ -203,7 +203,7 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     on_right = F.filter("met", lambda s: (GRAM + s["r"] < PASSAGE) & (s["at"] + GRAM + s["r"] < F.size("x")))
     on_left = F.filter("met", lambda s: (GRAM + s["l"] < PASSAGE) & (s["at"] > s["l"]))
     beyond = F.concat(F.transform(on_right, lambda s: longer(s, F.lit(0), s["r"] + 1)), F.transform(on_left, lambda s: longer(s, s["l"] + 1, F.lit(0))))
-    return both.select("id", "hash", F.array_sort(spans).alias("spans"), F.array_distinct(beyond).alias("open"))
+    return both.select("id", "hash", F.array_sort(spans).alias("spans"), beyond.alias("open"))
 
 
 def _chained(spans: DataFrame) -> DataFrame:
