@@ -15,6 +15,8 @@ So every pair that shares the bands and could join two components is decided, no
 
 Defined cases: null, empty and blank texts have no shingles and are linked with nothing; with fewer words than ``k`` the whole sequence
 is one shingle; rows of one doc_id are one node; a null doc_id links with nothing, its component is null and it is kept.
+Repeated rows are rows of one class, ties go to the smallest doc_id; texts of any length are read whole; an empty table gives an empty one. Only doc_id and text
+are read, so columns of other names do no harm; ``deduplicated`` keeps them all.
 """
 
 from __future__ import annotations
