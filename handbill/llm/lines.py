@@ -184,10 +184,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     whole = F.filter(F.sequence("pos", F.col("to") - 1), lambda p: p + PASSAGE <= F.size("x"))
     whole = F.transform(whole, lambda p: _hashed("x", p, PASSAGE, p.alias("pos")))
     bodies = stored(starts.join(texts.hint("merge"), ["id", "hash"]).select("id", "hash", F.inline_outer(whole)).where("pos is not null"), "passages-bodies")
+    discard(texts, shared)
     again = _with_first(bodies, ["g1", "g2"], "pos").select("id", "hash", F.struct("at.pos", (F.col("at.pos") + PASSAGE).alias("to")).alias("at"))
     again = again.groupBy("id", "hash").agg(F.array_sort(F.collect_set("at")).alias("spans"))
     runs = _merged(_chained(compared).unionByName(_chained(again)), ["id", "hash"], "passages-runs")
-    discard(texts, compared, shared, bodies)
+    discard(compared, bodies)
     return runs
 
 
