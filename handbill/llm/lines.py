@@ -21,6 +21,8 @@ all lines becomes empty; texts of any length are read whole; an empty table give
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,17 +32,28 @@ MIN_LINES, MIN_WORDS = 3, 50
 #: Words of a passage, of a window whose least word is a fingerprint's place, and of a fingerprint; WINDOW is a power of 2. A passage holds a
 #: window and the fingerprint at its place: WINDOW + GRAM - 1 = PASSAGE.
 PASSAGE, WINDOW, GRAM = 50, 32, 19
-#: Bits for a word's place beside the 31 of its hash; lowest bits of a hash that are 0 for the least words; rounds of thinning.
-PLACE_BITS, FEW, ROUNDS = 30, 2, 8
+#: White space within lines, beside spaces.
+OTHER_WHITE = ("\t", "\x0b", "\x0c", "\r")
 
 
 def _lines(text: str = "text") -> Column:
     return F.split(text, "\n")
 
 
+def _holds(text: Column | str, *parts: str) -> Column:
+    return reduce(lambda a, b: a | b, (F.contains(text, F.lit(p)) for p in parts))
+
+
+def _count(line: Column) -> Column:
+    """The number of WORDs of a line; where single spaces part them, by plain searches, which are several times faster."""
+    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    odd = (line == "") | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" ")) | _holds(line, "  ", *OTHER_WHITE)
+    return F.when(odd, F.regexp_count(line, F.lit(WORD))).otherwise(spaces + 1)
+
+
 def windows(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_hash, pos, m, mark, w1, w2): each window with its number of lines, fingerprint and content hashes."""
-    hashed = F.transform(_lines(), lambda x: F.struct(F.xxhash64(x).alias("h1"), F.xxhash64(F.lit(7), x).alias("h2"), F.regexp_count(x, F.lit(WORD)).alias("w")))
+    hashed = F.transform(_lines(), lambda x: F.struct(F.xxhash64(x).alias("h1"), F.xxhash64(F.lit(7), x).alias("h2"), _count(x).alias("w")))
     rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), hashed.alias("lines"))
     shifted = [F.slice("lines", i + 1, F.greatest(F.size("lines") - i, F.lit(0))).alias(f"l{i}") for i in range(min_lines)]
     rows = rows.where(F.size("lines") > 0).select("doc_id", "text_hash", F.posexplode(F.arrays_zip(*shifted)).alias("pos", "at"))
@@ -62,7 +75,8 @@ def windows(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WO
         return out
 
     least = over(lambda x: F.least(*(y["h1"] for y in x)) if len(x) > 1 else x[0]["h1"])
-    return rows.select("doc_id", "text_hash", "pos", "m", least.alias("mark"), over(lambda x: F.xxhash64(*(y["h1"] for y in x))).alias("w1"), over(lambda x: F.xxhash64(F.lit(7), *(y["h2"] for y in x))).alias("w2"), over(lambda x: F.greatest(*(F.when(y["h1"] == least, F.lit(i)) for i, y in enumerate(x)), F.lit(-1))).alias("mark_at"))
+    rows, least = rows.withColumn("mark", least), F.col("mark")
+    return rows.select("doc_id", "text_hash", "pos", "m", "mark", over(lambda x: F.xxhash64(*(y["h1"] for y in x))).alias("w1"), over(lambda x: F.xxhash64(F.lit(7), *(y["h2"] for y in x))).alias("w2"), over(lambda x: F.greatest(*(F.when(y["h1"] == least, F.lit(i)) for i, y in enumerate(x)), F.lit(-1))).alias("mark_at"))
 
 
 def _merged(spans: DataFrame, key: list[str], name: str) -> DataFrame:
@@ -115,48 +129,39 @@ def _id(c: str = "doc_id") -> Column:
     return F.coalesce(F.col(c).cast("long"), F.lit(-(2**63)).cast("long"))
 
 
-def _words(text: str = "text") -> Column:
-    return F.split(F.btrim(text, F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")
+def _split(rows: DataFrame) -> DataFrame:
+    """The rows with the array ``words`` of their text; a text without other white space than spaces and line breaks is cut by a plain search."""
+    by_pattern = F.split(F.btrim("text", F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")
+    plain = F.array_remove(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " "), "")
+    return rows.withColumn("words", F.when(_holds("text", *OTHER_WHITE), by_pattern).otherwise(plain))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(id, hash, pos, g1, g2): the places of the least words of all windows of WINDOW words that start a passage, and the hashes of the GRAM words from
     there on. The order of words is by hash, the first of equals is less.
 
-    Words whose lowest hash bits are 0 come first in that order, so a window that holds one has its least word among them; the others count only where
-    a gap between two of these holds a window. Then a word goes that is greater than both its neighbours, if no window lies between these two: it
-    is the least of no window, and nothing's next less word. ROUNDS of this leave the least words of all windows, and some 6% more."""
-    mask = F.lit((1 << PLACE_BITS) - 1)
-    place = lambda p: p.bitwiseAND(mask).cast("int")
-    order = lambda v, i: F.shiftleft(F.shiftrightunsigned(v, FEW).bitwiseAND(F.lit((1 << 31) - 1)), PLACE_BITS) + i
+    A window's least word is a new place where the word before the window was the least one of those up to the window's last word, or the last word is.
+    Arrays of hashes are exploded rather than transformed: explode, slice and array_min are compiled, lambdas are not."""
     # by characters, as a filter on the number of words would cut the words twice
-    rows = docs.where(F.length("text") >= 2 * PASSAGE - 1).select(_id().alias("id"), F.xxhash64("text").alias("hash"), F.transform(_words(), lambda w: F.xxhash64(w)).alias("x"))
-    rows = rows.withColumn("n", F.when(F.size("x") >= PASSAGE, F.size("x") - (GRAM - 1)).otherwise(0))
-    few = F.transform("x", lambda v, i: F.when((v.bitwiseAND(F.lit((1 << FEW) - 1)) == 0) & (i < F.col("n")), order(v, i)))
-    rows = rows.withColumn("few", F.filter(few, lambda p: p.isNotNull()))
-
-    def filled(p: Column, k: Column) -> Column:
-        """The place ``p`` (-1: the start), and the words from there to the next one if they hold a window."""
-        start, to = F.when(p < 0, F.lit(-1)).otherwise(place(p)), F.coalesce(place(F.get("few", k)), F.col("n"))
-        rest = F.transform(F.slice("x", start + 2, to - start - 1), lambda v, j: order(v, start + 1 + j) + F.lit(1 << 61))
-        one = F.array(p)
-        return F.when(to - start > WINDOW, F.concat(one, rest)).otherwise(one)
-
-    least = F.flatten(F.transform(F.concat(F.array(F.lit(-1).cast("long")), F.col("few")), filled))
-    rows = rows.select("id", "hash", "x", "n", F.filter(least, lambda p: p >= 0).alias("least"))
-    for _ in range(ROUNDS):
-        left, right = lambda i: F.get("least", i - 1), lambda i: F.get("least", i + 1)
-        # the ends of the text count as less than all words
-        between = lambda p, i: F.coalesce(left(i) < p, F.lit(True)) & F.coalesce(right(i) < p, F.lit(True)) & (F.coalesce(place(right(i)), F.col("n")) - F.coalesce(place(left(i)), F.lit(-1)) <= WINDOW)
-        rows = rows.withColumn("least", F.filter("least", lambda p, i: ~between(p, i)))
-    marks = F.transform("least", lambda p: _hashed("x", place(p), GRAM, place(p).alias("pos")))
+    rows = _split(docs.where(F.length("text") >= 2 * PASSAGE - 1).select(_id().alias("id"), F.xxhash64("text").alias("hash"), "text"))
+    rows = rows.select("id", "hash", F.transform("words", lambda w: F.xxhash64(w)).alias("x"))
     # outer: the filter that an inner one infers would compute the array twice
-    return rows.select("id", "hash", F.inline_outer(marks)).where("pos is not null")
+    rows = rows.select("id", "hash", "x", F.posexplode_outer("x").alias("i", "v")).where(F.col("i") <= F.size("x") - PASSAGE)
+    i = F.col("i")
+    inner = F.slice("x", i + 1, F.lit(WINDOW - 1))
+    before, last, least = F.get("x", i - 1), F.get("x", i + (WINDOW - 1)), F.array_min(inner)
+    # most windows fail by a few of their words, without a slice
+    few = F.least("v", *(F.get("x", i + n * WINDOW // 4 - 2) for n in (1, 2, 3, 4)))
+    rows = rows.where((i == 0) | (few >= F.least(before, last))).where((i == 0) | (least >= F.least(before, last)))
+    rows = rows.select("id", "hash", "x", "i", before.alias("before"), last.alias("last"), inner.alias("inner")).withColumn("least", F.array_min("inner"))
+    before, last, least = (F.col(c) for c in ("before", "last", "least"))
+    rows = rows.where((i == 0) | (before <= least) | (last < least))
+    rows = rows.select("id", "hash", "x", F.when(last < least, i + (WINDOW - 1)).otherwise(i - 1 + F.array_position("inner", least).cast("int")).alias("pos"))
+    return rows.select("id", "hash", "pos", *_hashed(F.slice("x", F.col("pos") + 1, F.lit(GRAM))))
 
 
-def _hashed(words: str, start: Column, n: int | Column, *fields: Column) -> Column:
-    """``fields`` and g1, g2, the hashes of the ``n`` words from ``start`` on, which are cut out once."""
-    return F.get(F.transform(F.array(F.slice(words, start + 1, n)), lambda g: F.struct(*fields, F.xxhash64(g).alias("g1"), F.xxhash64(F.lit(7), g).alias("g2"))), F.lit(0))
+def _hashed(words: Column) -> list[Column]:
+    return [F.xxhash64(words).alias("g1"), F.xxhash64(F.lit(7), words).alias("g2")]
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -165,76 +170,79 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     The places of a fingerprint meet its first place, and both texts are compared word by word to either side. Where a text goes on in another way
     than that of the first place, its passages that go so far can occur only in texts that go on in the same way: the fingerprint with the words up to
     there is longer, and where places share the longer one, the passages around it meet by their content."""
-    every = stored(fingerprints(docs), "passages-marks")
-    pairs = _with_first(every, ["g1", "g2"], "pos")
+    pairs, *made = _with_first(stored(fingerprints(docs), "passages-marks"))
     pairs = stored(pairs.groupBy("id", "hash", "of_id", "of_hash").agg(F.collect_set("at").alias("at")), "passages-pairs")
-    discard(every)
+    discard(*made)
     met = pairs.select("id", "hash").unionByName(pairs.select(F.col("of_id").alias("id"), F.col("of_hash").alias("hash"))).distinct()
     texts = docs.select(_id().alias("id"), F.xxhash64("text").alias("hash"), "text").join(met.hint("merge"), ["id", "hash"], "left_semi")
-    texts = texts.groupBy("id", "hash").agg(F.first("text").alias("text")).select("id", "hash", F.transform(_words(), lambda w: F.xxhash64(w)).alias("x"))
+    texts = _split(texts.groupBy("id", "hash").agg(F.first("text").alias("text"))).select("id", "hash", F.transform("words", lambda w: F.xxhash64(w)).alias("x"))
     texts = stored(texts, "passages-texts")
     compared = stored(_compared(pairs, texts), "passages-spans")
     discard(pairs)
     # the passages around the longer fingerprints that places share
-    key, place = ["g1", "g2", "left", "right"], F.struct("id", "hash", "pos")
-    longer = compared.select("id", "hash", F.explode("open").alias("o")).select("id", "hash", "o.*")
-    shared = stored(longer.groupBy(*key).agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select(*key), "passages-longer")
-    starts = longer.join(shared.hint("merge"), key, "left_semi").select("id", "hash", F.struct(F.greatest(F.lit(0), F.col("pos") + GRAM + F.col("right") - PASSAGE).alias("pos"), (F.col("pos") - F.col("left") + 1).alias("to")).alias("at"))
-    starts = _chained(starts.groupBy("id", "hash").agg(F.array_sort(F.collect_set("at")).alias("spans")))
-    whole = F.filter(F.sequence("pos", F.col("to") - 1), lambda p: p + PASSAGE <= F.size("x"))
-    whole = F.transform(whole, lambda p: _hashed("x", p, PASSAGE, p.alias("pos")))
-    bodies = stored(starts.join(texts.hint("merge"), ["id", "hash"]).select("id", "hash", F.inline_outer(whole)).where("pos is not null"), "passages-bodies")
-    discard(texts, shared)
-    again = _with_first(bodies, ["g1", "g2"], "pos").select("id", "hash", F.struct("at.pos", (F.col("at.pos") + PASSAGE).alias("to")).alias("at"))
-    again = again.groupBy("id", "hash").agg(F.array_sort(F.collect_set("at")).alias("spans"))
-    runs = _merged(_chained(compared).unionByName(_chained(again)), ["id", "hash"], "passages-runs")
-    discard(compared, bodies)
+    key = ["g1", "g2", "left", "right"]
+    open_ = [F.struct(F.col(f"{side}1").alias("g1"), F.col(f"{side}2").alias("g2"), left.alias("left"), right.alias("right")) for side, left, right in (("r", F.lit(0), F.col("r") + 1), ("l", F.col("l") + 1, F.lit(0)))]
+    longer = compared.select("id", "hash", "pos", F.inline(F.array(*open_))).where("g1 is not null")
+    longer, shared = _shared(longer, key)
+    starts = longer.select("id", "hash", F.greatest(F.lit(0), F.col("pos") + GRAM + F.col("right") - PASSAGE).alias("pos"), (F.col("pos") - F.col("left") + 1).alias("to"))
+    starts = _merged(starts, ["id", "hash"], "passages-starts")
+    last = F.least(F.col("end") - 1, F.size("x") - PASSAGE)
+    bodies = starts.join(texts.hint("merge"), ["id", "hash"]).select("id", "hash", "x", F.explode_outer(F.when(F.col("start") <= last, F.sequence("start", last))).alias("pos")).where("pos is not null")
+    bodies = stored(bodies.select("id", "hash", "pos", *_hashed(F.slice("x", F.col("pos") + 1, F.lit(PASSAGE)))), "passages-bodies")
+    discard(texts, shared, starts)
+    again, *made = _with_first(bodies)
+    again = again.select("id", "hash", "at.pos", (F.col("at.pos") + PASSAGE).alias("to"))
+    spans = compared.where(F.col("l") + GRAM + F.col("r") >= PASSAGE).select("id", "hash", (F.col("pos") - F.col("l")).alias("pos"), (F.col("pos") + GRAM + F.col("r")).alias("to"))
+    runs = _merged(spans.unionByName(again), ["id", "hash"], "passages-runs")
+    discard(compared, *made)
     return runs
 
 
-def _with_first(rows: DataFrame, key: list[str], pos: str) -> DataFrame:
-    """(id, hash, of_id, of_hash, at): the rows whose ``key`` occurs at an earlier place, with the first one."""
-    place = F.struct("id", "hash", pos)
-    first = rows.groupBy(*key).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    first = stored(first.select(*key, "first"), "passages-first")  # a table: so the planner can split the join at a hot key
-    later = rows.join(first.hint("merge"), key).where(place > F.col("first"))
-    return later.select("id", "hash", F.col("first.id").alias("of_id"), F.col("first.hash").alias("of_hash"), F.struct(F.col(pos).alias("pos"), F.col(f"first.{pos}").alias("of_pos")).alias("at"))
+def _shared(rows: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows whose ``key`` other rows share, and the table of these keys. Counts, as they are aggregated by hashing, and few keys are shared; each
+    is in the table once, and the rows of a hot one are split by the planner."""
+    keys = stored(rows.groupBy(*key).count().where("count > 1").select(*key), "passages-shared")
+    return rows.join(keys.hint("shuffle_hash"), key, "left_semi"), keys
+
+
+def _with_first(every: DataFrame) -> tuple[DataFrame, ...]:
+    """(id, hash, of_id, of_hash, at): the rows of the table ``every`` whose content occurs at an earlier place, with the first one. Then the tables it reads; ``every`` is deleted."""
+    key, place = ["g1", "g2"], F.struct("id", "hash", "pos")
+    some, keys = _shared(every, key)
+    some = stored(some, "passages-some")
+    discard(every, keys)
+    first = stored(some.groupBy(*key).agg(F.min(place).alias("first")), "passages-first")  # a table: so the planner can split the join at a hot key
+    later = some.join(first.hint("merge"), key).where(place > F.col("first"))
+    return later.select("id", "hash", F.col("first.id").alias("of_id"), F.col("first.hash").alias("of_hash"), F.struct("pos", F.col("first.pos").alias("of_pos")).alias("at")), some, first
 
 
 def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id, hash, spans, open) of each pair of texts: the spans of words [pos, to) around their fingerprints that are equal and hold a passage, and
-    the fingerprints, longer by ``left`` or ``right`` words, of the passages that go on beyond them."""
+    """(id, hash, pos, l, r, r1, r2, l1, l2) of each fingerprint of a pair of texts: how many words before and after it are equal, and the hashes of the
+    fingerprint with the next word to the right or left, where passages go on beyond the equal words; else null.
+
+    The words are compared by halves: as many as a power of 2, then the next lower one from there on."""
     both = pairs.join(texts.hint("merge"), ["id", "hash"]).join(texts.select(F.col("id").alias("of_id"), F.col("hash").alias("of_hash"), F.col("x").alias("y")).hint("merge"), ["of_id", "of_hash"])
     reach = WINDOW - 1  # so far a passage can go on before its fingerprint, and after it
-
-    def alike(x: Column, y: Column, back: bool = False) -> Column:
-        """How many words of two equally long arrays are equal before the first that differ, or (back) after the last."""
-        equal = F.zip_with(x, y, lambda u, v: u == v)
-        return (F.array_position(F.concat(F.reverse(equal) if back else equal, F.array(F.lit(False))), F.lit(False)) - 1).cast("int")
-
-    def span(m: Column) -> Column:
-        p, q = m["pos"], m["of_pos"]
-        before, after = F.least(p, q, F.lit(reach)), F.least(F.size("x") - p - GRAM, F.size("y") - q - GRAM, F.lit(reach))
-        left = alike(F.slice("x", p - before + 1, before), F.slice("y", q - before + 1, before), back=True)
-        return F.struct(p.alias("at"), left.alias("l"), alike(F.slice("x", p + GRAM + 1, after), F.slice("y", q + GRAM + 1, after)).alias("r"))
-
-    def longer(s: Column, left: Column, right: Column) -> Column:
-        return _hashed("x", s["at"] - left, left + GRAM + right, s["at"].alias("pos"), left.alias("left"), right.alias("right"))
-
-    both = both.select("id", "hash", "x", F.transform("at", span).alias("met"))
-    spans = F.transform(F.filter("met", lambda s: s["l"] + GRAM + s["r"] >= PASSAGE), lambda s: F.struct((s["at"] - s["l"]).alias("pos"), (s["at"] + GRAM + s["r"]).alias("to")))
-    on_right = F.filter("met", lambda s: (GRAM + s["r"] < PASSAGE) & (s["at"] + GRAM + s["r"] < F.size("x")))
-    on_left = F.filter("met", lambda s: (GRAM + s["l"] < PASSAGE) & (s["at"] > s["l"]))
-    beyond = F.concat(F.transform(on_right, lambda s: longer(s, F.lit(0), s["r"] + 1)), F.transform(on_left, lambda s: longer(s, s["l"] + 1, F.lit(0))))
-    return both.select("id", "hash", F.array_sort(spans).alias("spans"), beyond.alias("open"))
-
-
-def _chained(spans: DataFrame) -> DataFrame:
-    """(id, hash, pos, to): the sorted ``spans`` of a row, those that meet the one before as one with it."""
-    heads = F.filter(F.transform("spans", lambda r, i: F.when((i == 0) | (r["pos"] > F.get("spans", i - 1)["to"]), i)), lambda i: i.isNotNull())
-    spans = spans.select("id", "hash", "spans", heads.alias("heads"))
-    chains = F.transform("heads", lambda h, k: F.struct(F.get("spans", h)["pos"].alias("pos"), F.array_max(F.transform(F.slice("spans", h + 1, F.coalesce(F.get("heads", k + 1), F.size("spans")) - h), lambda r: r["to"])).alias("to")))
-    return spans.select("id", "hash", F.inline_outer(chains)).where("pos is not null")
+    rows = both.select("id", "hash", "x", "y", F.inline_outer("at")).where("pos is not null")
+    # the words in reach: u of the text, v of the other one, with the fingerprint at place p of u and q of v
+    rows = rows.withColumns({"p": F.least("pos", F.lit(reach)), "q": F.least("of_pos", F.lit(reach))})
+    u, v = (F.slice(x, F.col(pos) - F.col(p) + 1, F.col(p) + GRAM + reach) for x, pos, p in (("x", "pos", "p"), ("y", "of_pos", "q")))
+    rows = rows.select("id", "hash", "pos", "p", "q", u.alias("u"), v.alias("v"), F.lit(0).alias("l"), F.lit(0).alias("r"))
+    p, q, l, r = (F.col(c) for c in ("p", "q", "l", "r"))
+    halves = [WINDOW >> n for n in range(1, WINDOW.bit_length())]
+    for k in halves:
+        equal = F.slice("u", p + GRAM + r + 1, F.lit(k)) == F.slice("v", q + GRAM + r + 1, F.lit(k))
+        rows = rows.withColumn("r", r + F.when(equal, F.lit(k)).otherwise(F.lit(0)))
+    # both slices end where both texts do. A lambda isn't compiled, so it parts the generated code: the JVM compiles no method of over 8000 bytes
+    after = F.least(F.size("u") - p - GRAM, F.size("v") - q - GRAM)
+    rows = rows.withColumn("r", F.get(F.transform(F.array("r"), lambda n: F.least(n, after)), F.lit(0)))
+    for k in halves:
+        equal = F.slice("u", F.greatest(p - l - k + 1, F.lit(1)), F.lit(k)) == F.slice("v", F.greatest(q - l - k + 1, F.lit(1)), F.lit(k))
+        rows = rows.withColumn("l", l + F.when((l + k <= F.least(p, q)) & equal, F.lit(k)).otherwise(F.lit(0)))
+    r1, r2 = _hashed(F.slice("u", p + 1, GRAM + r + 1))
+    l1, l2 = _hashed(F.slice("u", F.greatest(p - l, F.lit(1)), GRAM + l + 1))
+    on_right, on_left = (r < reach) & (p + GRAM + r < F.size("u")), (l < reach) & (p > l)
+    return rows.select("id", "hash", "pos", "l", "r", *(F.when(on, h).alias(c) for c, on, h in (("r1", on_right, r1), ("r2", on_right, r2), ("l1", on_left, l1), ("l2", on_left, l2))))
 
 
 def without_repeated_passages(docs: DataFrame, added: bool = False) -> DataFrame:

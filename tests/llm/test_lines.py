@@ -105,3 +105,33 @@ def test_passages_go_in_the_pipeline(spark, docs_of):
     assert got == {1: f"glued to {passage} more", 2: "in a longer line"}
     plan = lines.without_repeated_passages(docs_of((1, "a\nb"), (2, "a\nb")))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_generated_code_is_compiled(spark, docs_of):
+    """The JVM leaves methods of over 8000 bytes uncompiled, and lambdas are interpreted: explode, comparison and hashing are in short generated methods."""
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    words = " ".join(f"w{k}" for k in range(120))
+    docs = docs_of((1, words), (2, f"x\ty {words}  z"), (3, None), (4, " "))
+    pairs = spark.createDataFrame([(2, 2, 1, 1, [(2, 0), (12, 10)])], "id long, hash long, of_id long, of_hash long, at array<struct<pos:int,of_pos:int>>")
+    texts = spark.createDataFrame([(1, 1, list(range(70))), (2, 2, [-1, -2, *range(60), -3])], "id long, hash long, x array<long>")
+    compared = lines._compared(pairs, texts)
+    assert sorted((r.pos, r.l, r.r, r.r1 is None, r.l1 is None) for r in compared.collect()) == [(2, 0, 31, True, False), (12, 10, 31, True, False)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (lines.fingerprints(docs), lines.windows(docs), lines._compared(pairs, texts)):
+            plan = df._jdf.queryExecution().executedPlan()
+            sizes = [c._3().maxMethodCodeSize() for c in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(debug.codegenStringSeq(plan))]
+            assert sizes and max(sizes) < 8000
+        assert "Generate posexplode" in lines.fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_words_of_odd_white_space(docs_of):
+    texts = ["a  b\n\nc ", " a b", "a\tb \x0bc\r\nd", " a éb", "a b\n", "one"]
+    docs = docs_of(*enumerate(texts))
+    got = {r.doc_id: (r.words, r.n) for r in lines._split(docs).select("doc_id", "words", lines._count(lines.F.col("text")).alias("n")).collect()}
+    want = [[w for w in __import__("re").findall(r"[^\x20\x09-\x0D]+", t)] for t in texts]
+    assert [got[i][0] for i in range(len(texts))] == want
+    single = {i for i, t in enumerate(texts) if "\n" not in t}  # _count takes a line
+    assert all(got[i][1] == len(want[i]) for i in single)
