@@ -56,7 +56,8 @@ def windows(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WO
     hashed = F.transform(_lines(), lambda x: F.struct(F.xxhash64(x).alias("h1"), F.xxhash64(F.lit(7), x).alias("h2"), _count(x).alias("w")))
     rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), hashed.alias("lines"))
     shifted = [F.slice("lines", i + 1, F.greatest(F.size("lines") - i, F.lit(0))).alias(f"l{i}") for i in range(min_lines)]
-    rows = rows.where(F.size("lines") > 0).select("doc_id", "text_hash", F.posexplode(F.arrays_zip(*shifted)).alias("pos", "at"))
+    # outer: the filter that an inner one infers would compute the array of lines twice
+    rows = rows.select("doc_id", "text_hash", F.posexplode_outer(F.arrays_zip(*shifted)).alias("pos", "at"))
     line = [F.col(f"at.l{i}") for i in range(min_lines)]
     m, total = F.lit(None).cast("int"), F.lit(0)
     sums = []
@@ -108,8 +109,8 @@ def without_repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words
     runs = repeated_runs(docs, min_lines, min_words)
     runs = runs.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__runs")).select(F.col("doc_id").alias("__line_id"), F.col("text_hash").alias("__line_hash"), "__runs")
     rows = docs.withColumn("__hash", F.xxhash64("text"))
-    # a merge at any size: a plan that turns at a threshold would be another one at scale
-    rows = rows.join(runs.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__line_id")) & (F.col("__hash") == F.col("__line_hash")), "left")
+    # the runs are hashed at any size, so that whole texts are not sorted; a plan that turns at a threshold would be another one at scale
+    rows = rows.join(runs.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__line_id")) & (F.col("__hash") == F.col("__line_hash")), "left")
     lines = _lines()
     starts = F.concat(F.array(F.lit(0)), F.transform("__runs", lambda r: r["end"]))
     ends = F.concat(F.transform("__runs", lambda r: r["start"]), F.array(F.size(lines)))
@@ -153,11 +154,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     # most windows fail by a few of their words, without a slice
     few = F.least("v", *(F.get("x", i + n * WINDOW // 4 - 2) for n in (1, 2, 3, 4)))
     rows = rows.where((i == 0) | (few >= F.least(before, last))).where((i == 0) | (least >= F.least(before, last)))
-    rows = rows.select("id", "hash", "x", "i", before.alias("before"), last.alias("last"), inner.alias("inner")).withColumn("least", F.array_min("inner"))
-    before, last, least = (F.col(c) for c in ("before", "last", "least"))
-    rows = rows.where((i == 0) | (before <= least) | (last < least))
+    # a last word that only equals the least one before it is no new place
+    rows = rows.where((i == 0) | (before <= last) | (least > last))
+    rows = rows.select("id", "hash", "x", "i", last.alias("last"), inner.alias("inner")).withColumn("least", F.array_min("inner"))
+    last, least = F.col("last"), F.col("least")
     rows = rows.select("id", "hash", "x", F.when(last < least, i + (WINDOW - 1)).otherwise(i - 1 + F.array_position("inner", least).cast("int")).alias("pos"))
-    return rows.select("id", "hash", "pos", *_hashed(F.slice("x", F.col("pos") + 1, F.lit(GRAM))))
+    return rows.select("id", "hash", "pos", F.slice("x", F.col("pos") + 1, F.lit(GRAM)).alias("gram")).select("id", "hash", "pos", *_hashed(F.col("gram")))
 
 
 def _hashed(words: Column) -> list[Column]:
@@ -174,7 +176,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     pairs = stored(pairs.groupBy("id", "hash", "of_id", "of_hash").agg(F.collect_set("at").alias("at")), "passages-pairs")
     discard(*made)
     met = pairs.select("id", "hash").unionByName(pairs.select(F.col("of_id").alias("id"), F.col("of_hash").alias("hash"))).distinct()
-    texts = docs.select(_id().alias("id"), F.xxhash64("text").alias("hash"), "text").join(met.hint("merge"), ["id", "hash"], "left_semi")
+    texts = docs.select(_id().alias("id"), F.xxhash64("text").alias("hash"), "text").join(met.hint("shuffle_hash"), ["id", "hash"], "left_semi")
     texts = _split(texts.groupBy("id", "hash").agg(F.first("text").alias("text"))).select("id", "hash", F.transform("words", lambda w: F.xxhash64(w)).alias("x"))
     texts = stored(texts, "passages-texts")
     compared = stored(_compared(pairs, texts), "passages-spans")
@@ -188,7 +190,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     starts = _merged(starts, ["id", "hash"], "passages-starts")
     last = F.least(F.col("end") - 1, F.size("x") - PASSAGE)
     bodies = starts.join(texts.hint("merge"), ["id", "hash"]).select("id", "hash", "x", F.explode_outer(F.when(F.col("start") <= last, F.sequence("start", last))).alias("pos")).where("pos is not null")
-    bodies = stored(bodies.select("id", "hash", "pos", *_hashed(F.slice("x", F.col("pos") + 1, F.lit(PASSAGE)))), "passages-bodies")
+    bodies = bodies.select("id", "hash", "pos", F.slice("x", F.col("pos") + 1, F.lit(PASSAGE)).alias("body"))
+    bodies = stored(bodies.select("id", "hash", "pos", *_hashed(F.col("body"))), "passages-bodies")
     discard(texts, shared, starts)
     again, *made = _with_first(bodies)
     again = again.select("id", "hash", "at.pos", (F.col("at.pos") + PASSAGE).alias("to"))
@@ -239,10 +242,10 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     for k in halves:
         equal = F.slice("u", F.greatest(p - l - k + 1, F.lit(1)), F.lit(k)) == F.slice("v", F.greatest(q - l - k + 1, F.lit(1)), F.lit(k))
         rows = rows.withColumn("l", l + F.when((l + k <= F.least(p, q)) & equal, F.lit(k)).otherwise(F.lit(0)))
-    r1, r2 = _hashed(F.slice("u", p + 1, GRAM + r + 1))
-    l1, l2 = _hashed(F.slice("u", F.greatest(p - l, F.lit(1)), GRAM + l + 1))
     on_right, on_left = (r < reach) & (p + GRAM + r < F.size("u")), (l < reach) & (p > l)
-    return rows.select("id", "hash", "pos", "l", "r", *(F.when(on, h).alias(c) for c, on, h in (("r1", on_right, r1), ("r2", on_right, r2), ("l1", on_left, l1), ("l2", on_left, l2))))
+    longer = F.when(on_right, F.slice("u", p + 1, GRAM + r + 1)).alias("to_right"), F.when(on_left, F.slice("u", F.greatest(p - l, F.lit(1)), GRAM + l + 1)).alias("to_left")
+    rows = rows.select("id", "hash", "pos", "l", "r", *longer)  # cut once for both hashes
+    return rows.select("id", "hash", "pos", "l", "r", *(F.when(F.col(c).isNotNull(), h).alias(f"{c[3]}{n}") for c in ("to_right", "to_left") for n, h in enumerate(_hashed(F.col(c)), 1)))
 
 
 def without_repeated_passages(docs: DataFrame, added: bool = False) -> DataFrame:
@@ -251,7 +254,7 @@ def without_repeated_passages(docs: DataFrame, added: bool = False) -> DataFrame
     runs = repeated_passages(docs)
     runs = runs.groupBy("id", "hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__runs")).select(F.col("id").alias("__line_id"), F.col("hash").alias("__line_hash"), "__runs")
     rows = docs.withColumns({"__id": _id(), "__hash": F.xxhash64("text")})
-    rows = rows.join(runs.hint("merge"), (F.col("__id") == F.col("__line_id")) & (F.col("__hash") == F.col("__line_hash")), "left")
+    rows = rows.join(runs.hint("shuffle_hash"), (F.col("__id") == F.col("__line_id")) & (F.col("__hash") == F.col("__line_hash")), "left")
     white = r"[\x20\x09-\x0D]"
     rows = rows.withColumn("__words", F.when(F.col("__runs").isNotNull(), F.regexp_extract_all("text", F.lit(f"{white}*{WORD}"), F.lit(0))))
     before = lambda at: F.regexp_extract(F.get("__words", at), f"^{white}*", 0)

@@ -135,3 +135,14 @@ def test_words_of_odd_white_space(docs_of):
     assert [got[i][0] for i in range(len(texts))] == want
     single = {i for i, t in enumerate(texts) if "\n" not in t}  # _count takes a line
     assert all(got[i][1] == len(want[i]) for i in single)
+
+
+def test_texts_are_cut_once_and_not_sorted(docs_of):
+    """A filter that repeats the array of lines cuts and hashes every text twice; a merge join sorts whole texts."""
+    docs = docs_of((1, "a\nb"), (2, "a\nb"), (3, None), (4, ""))
+    windows = lines.windows(docs, 1, 50)
+    assert windows._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert sorted((r.doc_id, r.pos, r.m) for r in windows.collect()) == [(1, 0, 1), (1, 1, 1), (2, 0, 1), (2, 1, 1), (4, 0, 1)]
+    for df in (lines.without_repeated_runs(docs), lines.without_repeated_passages(docs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
